@@ -1,0 +1,217 @@
+"""Line parsing on hand-written lines, and against a plain regex on generated ones."""
+
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from weblytics.functions.clock import format_time, log_instant
+from weblytics.functions.text import PART_NAMES, ip_number, request_parts
+from weblytics.operators.parse import narrow_logs, parse_lines, unparsed_lines, with_format_time
+from weblytics.plans.etl import clean_lines, web_logs
+from weblytics.schema import LINE, NARROW_LOG_COLUMNS, WEB_LOG_COLUMNS
+
+NORMAL = (
+    '66.249.75.159 - - [29/Nov/2015:03:50:05 +0000] "GET /robots.txt HTTP/1.1" 200 55 "-" '
+    '"Mozilla/5.0 (x)"'
+)
+BARE = ' - - [29/Nov/2015:03:50:05 +0800] "" 400 - "-" ""'
+EXTRA = '1.2.3.4 - - [9/Nov/2015:03:50:05 +0000] "GET / HTTP/1.1" 200 5 "a" "b" extra'
+
+# Every group lazy, the whole line required: the definition the fast form must agree with.
+DEFINITION = re.compile(
+    r"(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})? (\S+) (\S+) (\[.+?\]) "
+    r'"(.*?)" (\d{3}) (\S+) "(.*?)" "(.*?)"',
+    re.ASCII,
+)
+
+
+def lines_of(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], LINE)
+
+
+def request_line(request):
+    return f'1.2.3.4 - - [29/Nov/2015:03:50:05 +0000] "{request}" 200 5 "-" "x"'
+
+
+def only(df):
+    rows = df.collect()
+    assert len(rows) == 1
+    return rows[0].asDict()
+
+
+def test_normal_line(spark):
+    row = only(parse_lines(lines_of(spark, NORMAL)))
+    assert row == {
+        "line": NORMAL,
+        "ip": "66.249.75.159",
+        "time": "[29/Nov/2015:03:50:05 +0000]",
+        "method": "GET",
+        "url": "/robots.txt",
+        "protocal": "HTTP/1.1",
+        "status": "200",
+        "bytesent": "55",
+        "refer": "-",
+        "agent": "Mozilla/5.0 (x)",
+    }
+
+
+def test_line_without_ip_request_or_agent_is_kept(spark):
+    row = only(clean_lines(lines_of(spark, BARE)))
+    assert row["ip"] is None
+    assert (row["method"], row["url"], row["protocal"]) == ("unknown",) * 3
+    assert row["bytesent"] == "-"
+    assert [row[c] for c in ("browserName", "browserVersion", "osName", "osVersion")] == [None] * 4
+    assert row["formattime"] == "201511281950"
+
+
+@pytest.mark.parametrize(
+    ("request_text", "expected"),
+    [
+        ("GET / HTTP/1.1", ("GET", "/", "HTTP/1.1")),
+        ("GET / HTTP/1.1 ", ("GET", "/", "HTTP/1.1")),
+        ("GET / HTTP/1.1   ", ("GET", "/", "HTTP/1.1")),
+        ("GET  / HTTP/1.1", ("unknown",) * 3),
+        ("GET  /", ("GET", "", "/")),
+        (" GET /", ("", "GET", "/")),
+        ("BAD", ("unknown",) * 3),
+        ("   ", ("unknown",) * 3),
+        ("", ("unknown",) * 3),
+    ],
+)
+def test_request_needs_three_tokens(spark, request_text, expected):
+    row = only(parse_lines(lines_of(spark, request_line(request_text))))
+    assert (row["method"], row["url"], row["protocal"]) == expected
+
+
+def test_quotes_inside_the_agent(spark):
+    row = only(parse_lines(lines_of(spark, NORMAL.replace("Mozilla/5.0 (x)", 'b\\"c'))))
+    assert row["agent"] == 'b\\"c'
+
+
+@pytest.mark.parametrize("line", [EXTRA, "garbage", "", NORMAL + "\n", "a\nb\nc\nd\ne\nf\ng", None])
+def test_other_lines_are_dropped(spark, line):
+    lines = lines_of(spark, line)
+    assert parse_lines(lines).isEmpty()
+    assert unparsed_lines(lines).count() == 1
+
+
+def test_every_line_is_parsed_or_unparsed(spark):
+    lines = lines_of(spark, NORMAL, BARE, EXTRA, "garbage", None)
+    assert parse_lines(lines).count() == 2
+    assert unparsed_lines(lines).count() == 3
+
+
+def test_other_input_columns_are_kept(spark):
+    parsed = parse_lines(lines_of(spark, NORMAL).withColumn("day", F.lit("20151129")))
+    assert parsed.columns[:2] == ["line", "day"]
+
+
+_TOKEN = st.text(alphabet='ab1.-"[] ', max_size=6)
+_LINE = st.one_of(
+    st.text(alphabet='1. -[]"a', max_size=40),
+    st.builds(
+        lambda ip, user, time, request, status, sent, refer, agent: (
+            f'{ip} - {user} [{time}] "{request}" {status} {sent} "{refer}" "{agent}"'
+        ),
+        st.sampled_from(["", "1.2.3.4", "1.2.3", "1111.2.3.4"]),
+        _TOKEN, _TOKEN, _TOKEN,
+        st.sampled_from(["200", "20", "2000", ""]),
+        _TOKEN, _TOKEN, _TOKEN,
+    ),
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(_LINE, min_size=150, max_size=200))
+def test_single_pass_agrees_with_the_definition(spark, texts):
+    expected = []
+    for text in texts:
+        match = DEFINITION.fullmatch(text)
+        if match:
+            ip, _, _, time, request, status, sent, refer, agent = match.groups()
+            tokens = request.rstrip(" ").split(" ")
+            tokens = tokens if len(tokens) == 3 else ["unknown"] * 3
+            expected.append((text, ip, time, *tokens, status, sent, refer, agent))
+    found = [tuple(r) for r in parse_lines(lines_of(spark, *texts)).collect()]
+    assert found == expected
+
+
+def test_part_names_cover_the_kept_groups():
+    assert PART_NAMES == ("ip", "time", "request", "status", "bytesent", "refer", "agent")
+
+
+@pytest.mark.parametrize(
+    ("time", "expected"),
+    [
+        ("[29/Nov/2015:03:50:05 +0000]", "201511290350"),
+        ("[29/Nov/2015:03:50:05 +0800]", "201511281950"),
+        ("[01/Jan/2016:00:30:00 +0100]", "201512312330"),
+        ("[9/Nov/2015:03:50:05 +0000]", "201511090350"),
+        ("[31/Dec/1969:23:59:59 +0000]", "196912312359"),
+        ("[32/Nov/2015:03:50:05 +0000]", None),
+        ("[nonsense]", None),
+        ("29/Nov/2015:03:50:05 +0000", None),
+    ],
+)
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_format_time_is_utc_in_any_session_zone(spark, time, expected, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(time,)], "time string")
+        assert df.select(format_time(F.col("time")).alias("f")).first()["f"] == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_row_with_bad_time_is_kept(spark):
+    bad = NORMAL.replace("29/Nov", "32/Nov")
+    row = only(with_format_time(parse_lines(lines_of(spark, bad))))
+    assert row["formattime"] is None
+    assert row["url"] == "/robots.txt"
+
+
+def test_instant_counts_seconds(spark):
+    df = spark.createDataFrame([("[01/Jan/1970:00:01:40 +0000]",)], "time string")
+    assert df.select(F.unix_seconds(log_instant(F.col("time"))).alias("s")).first()["s"] == 100
+
+
+def test_request_parts_drop_trailing_empty_tokens(spark):
+    df = spark.createDataFrame([("a b  ",)], "r string")
+    assert df.select(request_parts(F.col("r")).alias("p")).first()["p"] == ["a", "b"]
+
+
+@pytest.mark.parametrize(
+    ("ip", "number"),
+    [
+        ("0.0.0.0", 0),
+        ("10.1.2.3", 167838211),
+        ("255.255.255.255", 4294967295),
+        ("256.1.1.1", None),
+        ("1.2.3", None),
+        ("1.2.3.4.5", None),
+        ("a.b.c.d", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_ip_number(spark, ip, number):
+    df = spark.createDataFrame([(ip,)], "ip string")
+    assert df.select(ip_number(F.col("ip")).alias("n")).first()["n"] == number
+
+
+def test_record_columns(spark):
+    logs = web_logs(lines_of(spark, NORMAL))
+    assert logs.columns == list(WEB_LOG_COLUMNS)
+    assert set(logs.dtypes) == {(c, "string") for c in WEB_LOG_COLUMNS}
+    assert narrow_logs(logs).columns == list(NARROW_LOG_COLUMNS)
+
+
+def test_parse_runs_the_pattern_once(spark, plan):
+    parsed = parse_lines(lines_of(spark, NORMAL))
+    text = plan(parsed.select("ip", "url", "refer", "time", "agent"))
+    assert text.count("regexp_replace") == 1
+    assert "RLIKE" not in text

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -13,77 +12,69 @@ from weblytics.functions.text import UNKNOWN
 
 
 class BrowserRule(NamedTuple):
-    pattern: str
+    token: str  # the agent contains this text
     name: str
-    version: str  # regex whose group 1 is the version
+    version_after: str  # digits and dots after this text are the version
 
 
 class SystemRule(NamedTuple):
-    pattern: str
+    token: str
     family: str
     name: str
 
 
 # --- Fixed values: shipped rules, first match wins ---
 BROWSERS: tuple[BrowserRule, ...] = (
-    BrowserRule("Googlebot", "Googlebot", r"Googlebot[A-Za-z-]*/([0-9.]+)"),
-    BrowserRule("bingbot", "bingbot", r"bingbot/([0-9.]+)"),
-    BrowserRule("Baiduspider", "Baiduspider", r"Baiduspider/([0-9.]+)"),
-    BrowserRule("Edg(e|A|iOS)?/", "Edge", r"Edg[A-Za-z]*/([0-9.]+)"),
-    BrowserRule("OPR/|Opera", "Opera", r"(?:OPR|Opera)[/ ]([0-9.]+)"),
-    BrowserRule("MSIE |Trident/", "IE", r"(?:MSIE |rv:)([0-9.]+)"),
-    BrowserRule("Firefox/", "Firefox", r"Firefox/([0-9.]+)"),
-    BrowserRule("Chrome/", "Chrome", r"Chrome/([0-9.]+)"),
-    BrowserRule("Safari/", "Safari", r"Version/([0-9.]+)"),
+    BrowserRule("Googlebot", "Googlebot", "Googlebot/"),
+    BrowserRule("bingbot", "bingbot", "bingbot/"),
+    BrowserRule("Baiduspider", "Baiduspider", "Baiduspider/"),
+    BrowserRule("Edg/", "Edge", "Edg/"),
+    BrowserRule("Edge/", "Edge", "Edge/"),
+    BrowserRule("OPR/", "Opera", "OPR/"),
+    BrowserRule("Opera", "Opera", "Opera/"),
+    BrowserRule("MSIE ", "IE", "MSIE "),
+    BrowserRule("Trident/", "IE", "rv:"),
+    BrowserRule("Firefox/", "Firefox", "Firefox/"),
+    BrowserRule("Chrome/", "Chrome", "Chrome/"),
+    BrowserRule("Safari/", "Safari", "Version/"),
 )
 SYSTEMS: tuple[SystemRule, ...] = (
-    SystemRule("Windows NT 10[.]0", "Windows", "Windows 10"),
-    SystemRule("Windows NT 6[.]3", "Windows", "Windows 8.1"),
-    SystemRule("Windows NT 6[.]2", "Windows", "Windows 8"),
-    SystemRule("Windows NT 6[.]1", "Windows", "Windows 7"),
-    SystemRule("Windows NT 6[.]0", "Windows", "Windows Vista"),
-    SystemRule("Windows NT 5[.]1", "Windows", "Windows XP"),
+    SystemRule("Windows NT 10.0", "Windows", "Windows 10"),
+    SystemRule("Windows NT 6.3", "Windows", "Windows 8.1"),
+    SystemRule("Windows NT 6.2", "Windows", "Windows 8"),
+    SystemRule("Windows NT 6.1", "Windows", "Windows 7"),
+    SystemRule("Windows NT 6.0", "Windows", "Windows Vista"),
+    SystemRule("Windows NT 5.1", "Windows", "Windows XP"),
     SystemRule("Windows", "Windows", "Windows"),
     SystemRule("Android", "Android", "Android"),
-    SystemRule("iPhone|iPad|iPod", "iOS", "iOS"),
+    SystemRule("iPhone", "iOS", "iOS"),
+    SystemRule("iPad", "iOS", "iOS"),
     SystemRule("Mac OS X", "OS X", "OS X"),
     SystemRule("Linux", "Linux", "Linux"),
 )
 # --- End of fixed values ---
 
-_PLAIN_TEXT = re.compile(r"[A-Za-z0-9 /_-]+")
+_NO_RULE = -1
 
 
-def _matches(agent: Column, pattern: str) -> Column:
-    if _PLAIN_TEXT.fullmatch(pattern):
-        return F.contains(agent, F.lit(pattern))
-    return agent.rlike(pattern)
+def first_rule(agent: Column, rules: Sequence[NamedTuple]) -> Column:
+    """Index of the first rule whose token occurs; -1 for none, null for an empty agent."""
+    chosen = F.when(F.length(agent) == 0, F.lit(None).cast("int"))
+    for index, rule in enumerate(rules):
+        chosen = chosen.when(F.contains(agent, F.lit(rule.token)), index)
+    return F.when(agent.isNotNull(), chosen.otherwise(_NO_RULE))
 
 
-def _first_match(agent: Column, branches: list[tuple[str, Column]], default: Column) -> Column:
-    chosen = F.when(F.length(agent) == 0, F.lit(None))
-    for pattern, value in branches:
-        chosen = chosen.when(_matches(agent, pattern), value)
-    return F.when(agent.isNotNull(), chosen.otherwise(default))
+def rule_text(index: Column, texts: Sequence[str]) -> Column:
+    """Text of the chosen rule; ``unknown`` for none."""
+    chosen = F.get(F.array(*[F.lit(t) for t in texts]), index)
+    return F.when(index == _NO_RULE, UNKNOWN).otherwise(chosen)
 
 
-def browser_of(agent: Column, rules: Sequence[BrowserRule] = BROWSERS) -> Column:
-    """Struct ``(name, version)``; null for an empty agent, ``unknown`` where no rule matches."""
-    def pair(name: Column, version: Column) -> Column:
-        return F.struct(name.alias("name"), version.alias("version"))
-
-    branches = []
-    for rule in rules:
-        version = F.regexp_extract(agent, rule.version, 1)
-        version = F.when(F.length(version) > 0, version).otherwise(UNKNOWN)
-        branches.append((rule.pattern, pair(F.lit(rule.name), version)))
-    return _first_match(agent, branches, pair(F.lit(UNKNOWN), F.lit(UNKNOWN)))
-
-
-def system_of(agent: Column, rules: Sequence[SystemRule] = SYSTEMS) -> Column:
-    """Struct ``(family, name)``, with the same treatment of empty and unmatched agents."""
-    def pair(family: str, name: str) -> Column:
-        return F.struct(F.lit(family).alias("family"), F.lit(name).alias("name"))
-
-    branches = [(rule.pattern, pair(rule.family, rule.name)) for rule in rules]
-    return _first_match(agent, branches, pair(UNKNOWN, UNKNOWN))
+def rule_version(agent: Column, index: Column, rules: Sequence[BrowserRule]) -> Column:
+    """Version by the chosen rule; ``unknown`` for none, or where no version follows."""
+    mark = F.get(F.array(*[F.lit(r.version_after) for r in rules]), index)
+    at = F.position(mark, agent)
+    version = F.regexp_extract(F.substr(agent, at + F.length(mark)), "^[0-9.]+", 0)
+    found = (index != _NO_RULE) & (at > 0) & (F.length(version) > 0)
+    return F.when(index.isNotNull(), F.when(found, version).otherwise(UNKNOWN))

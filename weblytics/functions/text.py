@@ -62,9 +62,9 @@ def info_hash(info: Column) -> Column:
     return F.when(F.length(info) > 0, F.crc32(info)).otherwise(F.lit(0).cast("bigint"))
 
 
-def row_key(day: Column, info: Column) -> Column:
-    """``<day>_<crc32(info)>``."""
-    return F.concat(day, F.lit("_"), info_hash(info).cast("string"))
+def row_key(day: Column, hashed: Column) -> Column:
+    """``<day>_<hash>``."""
+    return F.concat(day, F.lit("_"), hashed.cast("string"))
 
 
 def ip_number(ip: Column) -> Column:

@@ -12,8 +12,9 @@ from weblytics.functions.agents import (
     SYSTEMS,
     BrowserRule,
     SystemRule,
-    browser_of,
-    system_of,
+    first_rule,
+    rule_text,
+    rule_version,
 )
 from weblytics.operators.lookup import by_distinct_key
 
@@ -23,18 +24,18 @@ MANY_RULES = 64
 def _agent_columns(
     rows: DataFrame, browsers: Sequence[BrowserRule], systems: Sequence[SystemRule]
 ) -> DataFrame:
-    agent = F.col("agent")
-    structs = rows.select(
+    agent, browser, system = F.col("agent"), F.col("_browser"), F.col("_system")
+    chosen = rows.select(
         "*",
-        browser_of(agent, browsers).alias("_browser"),
-        system_of(agent, systems).alias("_system"),
+        first_rule(agent, browsers).alias("_browser"),
+        first_rule(agent, systems).alias("_system"),
     )
-    return structs.select(
+    return chosen.select(
         *rows.columns,
-        F.col("_browser.name").alias("browserName"),
-        F.col("_browser.version").alias("browserVersion"),
-        F.col("_system.family").alias("osName"),
-        F.col("_system.name").alias("osVersion"),
+        rule_text(browser, [r.name for r in browsers]).alias("browserName"),
+        rule_version(agent, browser, browsers).alias("browserVersion"),
+        rule_text(system, [r.family for r in systems]).alias("osName"),
+        rule_text(system, [r.name for r in systems]).alias("osVersion"),
     )
 
 

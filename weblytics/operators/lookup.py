@@ -29,8 +29,7 @@ def by_distinct_key(
 ) -> DataFrame:
     """Left join ``rows`` to ``compute(distinct keys)`` on the string column ``key``.
 
-    ``compute`` gets ``(key, hits)`` with one row for each key and must return at most one row
-    for each key, keeping both columns. Its result is written once, measured, and then joined:
+    ``compute`` gets ``(key, hits)`` and must return every key once, with both columns. Its result is written once, measured, and then joined:
     broadcast where it is small; otherwise only its hot keys are broadcast and the rest is
     joined by shuffle, the rows of hot and null keys being spread because they are settled already.
     """
@@ -42,10 +41,10 @@ def by_distinct_key(
     table = spark.read.schema(computed.schema).parquet(path)
 
     size = table.agg(F.sum(row_bytes(table)).alias("bytes"), F.sum("hits").alias("hits")).first()
+    extra = [c for c in table.columns if c not in (key, "hits")]
     if (size["bytes"] or 0) <= broadcast_bytes:
-        return rows.join(F.broadcast(table.drop("hits")), key, "left")
+        return rows.join(F.broadcast(table), key, "left").select(*rows.columns, *extra)
 
-    extra = [c for c in table.columns if c not in (key, "hits")]
     hot = F.col("hits") > size["hits"] / HOT_SHARE
     settled = table.where(hot).select(key, F.struct(*extra).alias("_hot"))
     open_keys = table.where(~hot).select(

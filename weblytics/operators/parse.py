@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weblytics.functions.clock import format_time, log_instant
@@ -10,6 +10,7 @@ from weblytics.functions.text import (
     PART_NAMES,
     UNKNOWN,
     WHOLE_LINE_PATTERN,
+    info_hash,
     joined_text,
     line_parts,
     null_if_empty,
@@ -26,21 +27,22 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     a ``where`` on the parsed array would be pushed below it and run the regex again.
     """
     parts = lines.select("*", F.explode(line_parts(F.col("line"))).alias("_parts"))
+    part = {name: F.col("_parts")[i] for i, name in enumerate(PART_NAMES)}
     named = parts.select(
         *lines.columns,
-        *[F.col("_parts")[i].alias(name) for i, name in enumerate(PART_NAMES)],
+        *[value.alias(name) for name, value in part.items() if name != "request"],
+        request_parts(part["request"]).alias("_tokens"),
     )
-    tokens = request_parts(F.col("request"))
+    tokens = F.col("_tokens")
     complete = F.size(tokens) == len(REQUEST_COLUMNS)
-    request = {
-        name: F.when(complete, tokens[i]).otherwise(UNKNOWN)
-        for i, name in enumerate(REQUEST_COLUMNS)
-    }
     return named.select(
         *lines.columns,
         null_if_empty(F.col("ip")).alias("ip"),
         "time",
-        *[value.alias(name) for name, value in request.items()],
+        *[
+            F.when(complete, tokens[i]).otherwise(UNKNOWN).alias(name)
+            for i, name in enumerate(REQUEST_COLUMNS)
+        ],
         "status",
         "bytesent",
         "refer",
@@ -65,7 +67,10 @@ def with_event_time(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("event_ts", log_instant(F.col("time")))
 
 
-def with_row_key(parsed: DataFrame, day: str = "day") -> DataFrame:
-    """Add ``rowkey`` from the day column and the hash of referer, url and ip."""
-    info = joined_text(F.col("refer"), F.col("url"), F.col("ip"))
-    return parsed.withColumn("rowkey", row_key(F.col(day), info))
+def hit_hash() -> Column:
+    """Hash of referer, url and ip, the variable part of the row key."""
+    return info_hash(joined_text(F.col("refer"), F.col("url"), F.col("ip")))
+
+
+def with_row_key(parsed: DataFrame) -> DataFrame:
+    return parsed.withColumn("rowkey", row_key(F.col("day"), hit_hash()))

@@ -64,11 +64,13 @@ def _measure(pieces: DataFrame) -> tuple[int, int]:
 def _as_of(ips: DataFrame, ip: str, pieces: DataFrame) -> DataFrame:
     """The last range that starts at or before each distinct address, if it reaches that far.
 
-    Sorting inside /16 blocks makes this linear: a block holds at most 65,536 distinct addresses
-    and as many pieces, and no pair of the two is ever formed.
+    Sorting inside /16 blocks avoids pairs of the two: a block holds at most 65,536 distinct
+    addresses and as many pieces. Text that is no address is spread over blocks of its own.
     """
     number = ip_number(F.col(ip))
-    probes = ips.select(ip, "hits", number.alias("_at"), _block(number).alias("_block"))
+    no_address = -1 - F.pmod(F.xxhash64(ip), F.lit(1 << BLOCK_BITS))  # a block without ranges
+    block = F.coalesce(_block(number), no_address)
+    probes = ips.select(ip, "hits", number.alias("_at"), block.alias("_block"))
     starts = pieces.select(
         "_block", F.col("_first").alias("_at"), F.struct("_last", *PLACE_COLUMNS).alias("_range")
     )
@@ -78,9 +80,7 @@ def _as_of(ips: DataFrame, ip: str, pieces: DataFrame) -> DataFrame:
         .orderBy("_at", F.col("_range").isNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    latest = together.where(F.col("_block").isNotNull()).withColumn(
-        "_range", F.last("_range", ignorenulls=True).over(so_far)
-    )
+    latest = together.withColumn("_range", F.last("_range", ignorenulls=True).over(so_far))
     reached = F.col("_at") <= F.col("_range._last")
     return latest.where(F.col(ip).isNotNull()).select(
         ip, "hits", *[F.when(reached, F.col(f"_range.{c}")).alias(c) for c in PLACE_COLUMNS]

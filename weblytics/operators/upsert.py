@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weblytics.operators.parse import parse_lines, with_event_time, with_row_key
+from weblytics.functions.text import row_key
+from weblytics.operators.parse import hit_hash, parse_lines, with_event_time
 
 
 def latest_lines(lines: DataFrame) -> DataFrame:
     """``(day, rowkey, line)``: for each row key the latest line, ties going to the greatest text.
 
     An aggregate rather than a ranking window: the partial ``max`` reduces a hot key inside each
-    map task, and only key, time and line are shuffled; the winners are parsed again later.
+    map task, and only key, time and line are shuffled; the winners are parsed again later. The
+    number in the row key is grouped on in its place, because it is shorter and sorts faster.
     """
-    keyed = with_row_key(with_event_time(parse_lines(lines)))
+    hits = with_event_time(parse_lines(lines))
     winner = F.max(F.struct("event_ts", "line")).alias("_winner")
-    return keyed.groupBy("day", "rowkey").agg(winner).select("day", "rowkey", "_winner.line")
+    latest = hits.groupBy(hit_hash().alias("_hash"), "day").agg(winner)
+    return latest.select("day", row_key(F.col("day"), F.col("_hash")).alias("rowkey"), "_winner.line")
+
+
+def in_key_ranges(keyed: DataFrame) -> DataFrame:
+    """Rows with neighbouring row keys in one partition, for files that cover a key range.
+
+    The key starts with the day, so a partition holds one day, or the border of two.
+    """
+    return keyed.repartitionByRange("rowkey")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weblytics.operators.agents import with_agents
 from weblytics.operators.parse import parse_lines, with_format_time
 from weblytics.operators.places import with_places
-from weblytics.operators.upsert import latest_lines
+from weblytics.operators.upsert import in_key_ranges, latest_lines
 from weblytics.schema import STORED_ROW, WEB_LOG_COLUMNS
 from weblytics.sinks.day_table import replace_day
 from weblytics.sources.logs import read_log_day
@@ -29,12 +29,17 @@ def all_hits(lines: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     return with_places(hits, ranges) if ranges is not None else hits
 
 
-def keyed_rows(lines: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
+def keyed_rows(
+    lines: DataFrame, ranges: DataFrame | None = None, by_key: bool = False
+) -> DataFrame:
     """Stored rows: one for each row key of ``(line, day)``.
 
-    The upsert comes first, so only the surviving lines are enriched.
+    The upsert comes first, so only the surviving lines are enriched. ``by_key`` arranges them by
+    row-key range for the bulk-load layout, before the parse, so that the sampling pass of the
+    range exchange does not repeat the enrichment.
     """
-    rows = all_hits(latest_lines(lines), ranges)
+    latest = latest_lines(lines)
+    rows = all_hits(in_key_ranges(latest) if by_key else latest, ranges)
     return rows.select(*[c for c in STORED_ROW.names if c in rows.columns])
 
 
@@ -47,5 +52,5 @@ def load_day(
     by_key: bool = False,
 ) -> None:
     """The daily job: the files of ``<log_root>/<day>/`` replace that day of the table."""
-    rows = keyed_rows(read_log_day(spark, log_root, day), ranges)
-    replace_day(rows, table_root, day, by_key)
+    rows = keyed_rows(read_log_day(spark, log_root, day), ranges, by_key)
+    replace_day(rows, table_root, day)

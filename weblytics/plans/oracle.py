@@ -73,16 +73,19 @@ def _rule_rows(rules) -> str:
 
 _AGENT_INFO = f"""
 agents AS (SELECT DISTINCT agent FROM parsed WHERE agent <> ''),
-browser_rules(priority, pattern, name, version) AS (VALUES {_rule_rows(BROWSERS)}),
-system_rules(priority, pattern, family, name) AS (VALUES {_rule_rows(SYSTEMS)}),
+browser_rules(priority, token, name, mark) AS (VALUES {_rule_rows(BROWSERS)}),
+system_rules(priority, token, family, name) AS (VALUES {_rule_rows(SYSTEMS)}),
 browsers AS (
   SELECT agent, min_by(name, priority) AS name,
-         min_by(coalesce(nullif(regexp_extract(agent, version, 1), ''), '{UNKNOWN}'), priority) AS version
-  FROM agents JOIN browser_rules ON regexp_matches(agent, pattern) GROUP BY agent
+         min_by(CASE WHEN regexp_matches(agent[strpos(agent, mark) + len(mark):], '^[0-9.]')
+                      AND contains(agent, mark)
+                THEN regexp_extract(agent[strpos(agent, mark) + len(mark):], '^[0-9.]+')
+                ELSE '{UNKNOWN}' END, priority) AS version
+  FROM agents JOIN browser_rules ON contains(agent, token) GROUP BY agent
 ),
 systems AS (
   SELECT agent, min_by(family, priority) AS family, min_by(name, priority) AS name
-  FROM agents JOIN system_rules ON regexp_matches(agent, pattern) GROUP BY agent
+  FROM agents JOIN system_rules ON contains(agent, token) GROUP BY agent
 ),
 agent_info AS (
   SELECT agent, coalesce(b.name, '{UNKNOWN}') AS browserName,

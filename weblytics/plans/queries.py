@@ -16,7 +16,7 @@ from weblytics.operators.parse import narrow_logs, parse_lines, unparsed_lines,
 from weblytics.operators.places import with_places
 from weblytics.plans import etl
 from weblytics.plans.fixtures import events, ip_ranges, log_lines
-from weblytics.schema import AGENT_COLUMNS, PLACE_COLUMNS, WEB_LOG
+from weblytics.schema import WEB_LOG
 from weblytics.session import scratch_dir
 from weblytics.sinks.day_table import replace_days
 from weblytics.sinks.results import read_browser_stat, replace_browser_stat
@@ -75,7 +75,7 @@ def agent_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def agent_enriched_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_lines(log_lines(spark, sf_dir)).select("agent")
-    return with_agents(parsed, distinct_first=True).select("agent", *AGENT_COLUMNS)
+    return with_agents(parsed, distinct_first=True)
 
 
 def geo_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,8 +86,7 @@ def geo_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def geo_enriched_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The route for range tables too large to broadcast."""
     parsed = parse_lines(log_lines(spark, sf_dir)).select("ip")
-    placed = with_places(parsed, ip_ranges(spark, sf_dir), broadcast_bytes=0)
-    return placed.select("ip", *PLACE_COLUMNS)
+    return with_places(parsed, ip_ranges(spark, sf_dir), broadcast_bytes=0)
 
 
 # Keys, stored rows, cells
@@ -113,7 +112,8 @@ def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def day_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "days")
-    replace_days(_keyed(spark, sf_dir), root, by_key=True)
+    rows = etl.keyed_rows(log_lines(spark, sf_dir), ip_ranges(spark, sf_dir), by_key=True)
+    replace_days(rows, root)
     return scan_days(spark, root)
 
 
@@ -146,7 +146,7 @@ def visits_all_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def browser_stat_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result table from the day table, written twice: the rerun replaces its days."""
     root, result = scratch_dir(spark, "days"), scratch_dir(spark, "browser-stat")
-    replace_days(_keyed_agents(spark, sf_dir), root)
+    replace_days(etl.keyed_rows(log_lines(spark, sf_dir), by_key=True), root)
     with reused(V.browser_stat(scan_days(spark, root, ["day", "browserName"]))) as counts:
         replace_browser_stat(counts, result)
         replace_browser_stat(counts, result)

@@ -1,4 +1,4 @@
-"""Writers of the day table."""
+"""Writers of the day table. Each file is in row-key order, so a key look-up reads few row groups."""
 
 from __future__ import annotations
 
@@ -8,26 +8,18 @@ from pyspark.sql import functions as F
 from weblytics.schema import STORED_ROW
 
 
-def _arranged(rows: DataFrame, by_key: bool) -> DataFrame:
-    stored = rows.select(*[c for c in STORED_ROW.names if c in rows.columns])
-    if by_key:
-        return stored.repartitionByRange("rowkey").sortWithinPartitions("rowkey")
-    return stored
+def _stored(rows: DataFrame) -> DataFrame:
+    columns = [c for c in STORED_ROW.names if c in rows.columns]
+    return rows.select(*columns).sortWithinPartitions("day", "rowkey")
 
 
-def replace_days(rows: DataFrame, root: str, by_key: bool = False) -> None:
-    """Replace the days that occur in ``rows`` and leave the others.
-
-    ``by_key`` is the bulk-load layout: row-key ranges in sorted files, so that a key look-up
-    skips files and row groups by their bounds. The key starts with the day, so a file holds
-    one day, or the border of two. It costs a sampling pass and one exchange.
-    """
-    arranged = _arranged(rows, by_key)
-    writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def replace_days(rows: DataFrame, root: str) -> None:
+    """Replace the days that occur in ``rows`` and leave the others."""
+    writer = _stored(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("day").parquet(root)
 
 
-def replace_day(rows: DataFrame, root: str, day: str, by_key: bool = False) -> None:
+def replace_day(rows: DataFrame, root: str, day: str) -> None:
     """Replace one day with the rows of that day, even if there are none."""
-    of_day = _arranged(rows.where(F.col("day") == day), by_key).drop("day")
+    of_day = _stored(rows.where(F.col("day") == day)).drop("day")
     of_day.write.mode("overwrite").parquet(f"{root}/day={day}")
