@@ -100,6 +100,19 @@ def test_restart_continues(spark, tmp_path, folder):
     assert rows(found) == rows(summary(O.orders_of_events(read_events(spark, folder))))
 
 
+def test_state_has_its_own_partitions(spark, tmp_path, folder):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 50)
+    try:
+        results = O.paid_totals(live_orders(stream_events(spark, folder), None), "hour")
+        query = start_upsert(results, str(tmp_path / "o"), str(tmp_path / "c"), state_partitions=3)
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_single_file_as_a_stream(spark, tmp_path, sf_dir):
     summary, keys = SUMMARIES["totals"]
     path = f"{sf_dir}/events.parquet"

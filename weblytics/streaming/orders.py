@@ -9,6 +9,7 @@ from weblytics.operators.orders import orders_of_events
 from weblytics.streaming.upsert import start_upserted, upsert_writer
 
 LATENESS = "1 hour"
+STATE_PARTITIONS = 32
 
 
 def live_orders(events: DataFrame, lateness: str | None = LATENESS) -> DataFrame:
@@ -21,13 +22,27 @@ def live_orders(events: DataFrame, lateness: str | None = LATENESS) -> DataFrame
     return orders.withWatermark("ts", lateness) if lateness else orders
 
 
-def start_upsert(results: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there and stop, sending each changed window to the result folder."""
-    start_upserted(results.sparkSession, path, results.schema)
-    return (
+def start_upsert(
+    results: DataFrame, path: str, checkpoint: str, state_partitions: int = STATE_PARTITIONS
+) -> StreamingQuery:
+    """Process what is there and stop, sending each changed window to the result folder.
+
+    State is one row for each window, summed before the shuffle, so it needs far fewer partitions
+    than the session's batch jobs. A query takes the setting when it starts, and keeps it in its
+    checkpoint.
+    """
+    spark = results.sparkSession
+    start_upserted(spark, path, results.schema)
+    writer = (
         results.writeStream.outputMode("update")
         .foreachBatch(upsert_writer(path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    setting = "spark.sql.shuffle.partitions"
+    of_session = spark.conf.get(setting)
+    spark.conf.set(setting, min(int(of_session), state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(setting, of_session)
