@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from weblytics.functions.text import info_hash, joined_text, row_key
 from weblytics.operators.cells import first_rows, sorted_cells, to_cells
 from weblytics.operators.parse import parse_lines, with_row_key
-from weblytics.operators.upsert import in_key_ranges, latest_lines
+from weblytics.operators.upsert import in_key_ranges, latest_hits
 from weblytics.plans.etl import all_hits, keyed_rows
 from weblytics.schema import PLACE_COLUMNS, STORED_COLUMNS
 
@@ -54,24 +54,24 @@ def test_key_of_a_line(spark):
 
 def test_latest_line_wins(spark):
     early, late = line(0, agent="z"), line(5, agent="a")
-    rows = latest_lines(lines_of(spark, late, early)).collect()
+    rows = latest_hits(lines_of(spark, late, early)).collect()
     assert [r["line"] for r in rows] == [late]
 
 
 def test_tie_goes_to_the_greatest_line(spark):
     low, high = line(sent="1"), line(sent="2")
-    assert [r["line"] for r in latest_lines(lines_of(spark, high, low)).collect()] == [high]
+    assert [r["line"] for r in latest_hits(lines_of(spark, high, low)).collect()] == [high]
 
 
 def test_line_without_time_loses(spark):
     timeless = line().replace("01/Jan", "99/Jan")
-    assert [r["line"] for r in latest_lines(lines_of(spark, timeless, line())).collect()] == [line()]
-    assert latest_lines(lines_of(spark, timeless)).count() == 1
+    assert [r["line"] for r in latest_hits(lines_of(spark, timeless, line())).collect()] == [line()]
+    assert latest_hits(lines_of(spark, timeless)).count() == 1
 
 
 def test_same_hit_on_two_days_is_two_rows(spark):
     both = lines_of(spark, line()).union(lines_of(spark, line(), day="20240102"))
-    assert latest_lines(both).count() == 2
+    assert latest_hits(both).count() == 2
 
 
 def test_all_hits_counts_lines_and_keyed_rows_counts_keys(spark):
@@ -81,21 +81,21 @@ def test_all_hits_counts_lines_and_keyed_rows_counts_keys(spark):
 
 
 def test_upsert_is_one_shuffle_with_partial_aggregation(spark, plan):
-    text = plan(latest_lines(lines_of(spark, line())))
+    text = plan(latest_hits(lines_of(spark, line())))
     assert text.count("Exchange ") == 1
     assert "partial_max" in text
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     texts = [line(i) for i in range(300)] + [line(i, url=f"/{i}") for i in range(20)]
-    rows = latest_lines(lines_of(spark, *texts)).collect()
+    rows = latest_hits(lines_of(spark, *texts)).collect()
     assert len(rows) == 21
     assert line(299) in {r["line"] for r in rows}
 
 
 def test_key_ranges_do_not_overlap(spark):
     lines = lines_of(spark, *[line(i, url=f"/{i}") for i in range(200)])
-    rows = in_key_ranges(latest_lines(lines)).select(F.spark_partition_id().alias("p"), "rowkey")
+    rows = in_key_ranges(latest_hits(lines)).select(F.spark_partition_id().alias("p"), "rowkey")
     bounds = rows.groupBy("p").agg(F.min("rowkey").alias("a"), F.max("rowkey").alias("b"))
     ordered = sorted((r["a"], r["b"]) for r in bounds.collect())
     assert all(x[1] < y[0] for x, y in zip(ordered, ordered[1:]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weblytics.functions.clock import format_time, log_instant
+from weblytics.functions.clock import format_time, log_instant, minute_text
 from weblytics.functions.text import (
     PART_NAMES,
     UNKNOWN,
@@ -59,14 +59,16 @@ def narrow_logs(enriched: DataFrame) -> DataFrame:
     return enriched.select(*NARROW_LOG_COLUMNS)
 
 
-def with_format_time(parsed: DataFrame) -> DataFrame:
-    return parsed.withColumn("formattime", format_time(F.col("time")))
-
-
 def with_event_time(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("event_ts", log_instant(F.col("time")))
 
 
+def with_format_time(parsed: DataFrame) -> DataFrame:
+    if "event_ts" in parsed.columns:
+        return parsed.withColumn("formattime", minute_text(F.unix_seconds("event_ts")))
+    return parsed.withColumn("formattime", format_time(F.col("time")))
+
+
 def hit_hash() -> Column:
     """Hash of referer, url and ip, the variable part of the row key."""
     return info_hash(joined_text(F.col("refer"), F.col("url"), F.col("ip")))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weblytics.operators.agents import with_agents
 from weblytics.operators.parse import parse_lines, with_format_time
 from weblytics.operators.places import with_places
-from weblytics.operators.upsert import in_key_ranges, latest_lines
+from weblytics.operators.upsert import in_key_ranges, latest_hits
 from weblytics.schema import STORED_ROW, WEB_LOG_COLUMNS
 from weblytics.sinks.day_table import replace_day
 from weblytics.sources.logs import read_log_day
@@ -23,10 +23,14 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     return with_format_time(web_logs(lines))
 
 
+def _enriched(parsed: DataFrame, ranges: DataFrame | None) -> DataFrame:
+    hits = with_agents(with_format_time(parsed))
+    return with_places(hits, ranges) if ranges is not None else hits
+
+
 def all_hits(lines: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     """Every hit, enriched, without a row key."""
-    hits = with_agents(with_format_time(parse_lines(lines)))
-    return with_places(hits, ranges) if ranges is not None else hits
+    return _enriched(parse_lines(lines), ranges)
 
 
 def keyed_rows(
@@ -34,12 +38,12 @@ def keyed_rows(
 ) -> DataFrame:
     """Stored rows: one for each row key of ``(line, day)``.
 
-    The upsert comes first, so only the surviving lines are enriched. ``by_key`` arranges them by
-    row-key range for the bulk-load layout, before the parse, so that the sampling pass of the
-    range exchange does not repeat the enrichment.
+    The upsert comes first, so only the surviving hits are enriched. ``by_key`` arranges them by
+    row-key range for the bulk-load layout, before the enrichment, so that the sampling pass of
+    the range exchange does not repeat it.
     """
-    latest = latest_lines(lines)
-    rows = all_hits(in_key_ranges(latest) if by_key else latest, ranges)
+    latest = latest_hits(lines).drop("line")
+    rows = _enriched(in_key_ranges(latest) if by_key else latest, ranges)
     return rows.select(*[c for c in STORED_ROW.names if c in rows.columns])
 
 
