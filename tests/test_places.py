@@ -1,5 +1,6 @@
 """IP ranges: both routes against a brute-force search, skew, and unusable tables."""
 
+import functools
 import random
 
 import pytest
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 from weblytics.operators import lookup
 from weblytics.operators.lookup import by_distinct_key
 from weblytics.operators.places import range_pieces, with_places
+from weblytics.plans import etl
+from weblytics.plans.fixtures import ip_ranges, log_lines
 
 RANGES = "start_ip long, end_ip long, country string, province string"
 
@@ -106,6 +109,19 @@ def test_empty_range_table(spark):
     assert (row["country"], row["province"]) == (None, None)
 
 
+def test_keyed_rows_by_the_large_table_route(spark, sf_dir, monkeypatch):
+    lines, ranges = log_lines(spark, sf_dir), ip_ranges(spark, sf_dir)
+    expected = etl.keyed_rows(lines, ranges)
+    written = []
+    monkeypatch.setattr(lookup, "_written", lambda df, name, do=lookup._written: (
+        written.append(name), do(df, name))[1])
+    monkeypatch.setattr(etl, "with_places", functools.partial(with_places, broadcast_bytes=0))
+    found = etl.keyed_rows(lines, ranges)
+    assert written == ["rows", "lookup"]
+    assert found.columns == expected.columns
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
 def test_lookup_keeps_every_row_under_skew(spark, monkeypatch, plan):
     monkeypatch.setattr(lookup, "HOT_SHARE", 10)
     df = spark.range(3000).select(

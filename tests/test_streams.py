@@ -113,11 +113,12 @@ def test_state_has_its_own_partitions(spark, tmp_path, folder):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_single_file_as_a_stream(spark, tmp_path, sf_dir):
+@pytest.mark.parametrize("name", ["events.parquet", "events.*"])
+def test_single_file_or_glob_as_a_stream(spark, tmp_path, sf_dir, name):
     summary, keys = SUMMARIES["totals"]
-    path = f"{sf_dir}/events.parquet"
-    found, _ = streamed(spark, tmp_path, path, summary, keys)
-    assert rows(found) == rows(summary(O.orders_of_events(read_events(spark, path))))
+    found, _ = streamed(spark, tmp_path, f"{sf_dir}/{name}", summary, keys)
+    expected = summary(O.orders_of_events(read_events(spark, f"{sf_dir}/events.parquet")))
+    assert rows(found) == rows(expected)
 
 
 def test_newest_batch_wins_and_a_replay_replaces(spark, tmp_path):

@@ -44,15 +44,18 @@ def with_agents(
     browsers: Sequence[BrowserRule] = BROWSERS,
     systems: Sequence[SystemRule] = SYSTEMS,
     distinct_first: bool | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """Add the four agent columns from ``agent``.
 
     A short rule list is one CASE expression inside the scan stage: no join, no shuffle. With a
-    long one each distinct agent is matched once and joined back. A stream always takes the
-    first form.
+    long one each distinct agent is matched once and joined back, from rows written first if
+    ``staged``. A stream always takes the first form.
     """
     if distinct_first is None:
         distinct_first = len(browsers) + len(systems) > MANY_RULES and not rows.isStreaming
     if not distinct_first:
         return _agent_columns(rows, browsers, systems)
-    return by_distinct_key(rows, "agent", lambda agents: _agent_columns(agents, browsers, systems))
+    return by_distinct_key(
+        rows, "agent", lambda agents: _agent_columns(agents, browsers, systems), staged=staged
+    )

@@ -21,25 +21,30 @@ def row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, widths).cast("bigint")
 
 
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def by_distinct_key(
     rows: DataFrame,
     key: str,
     compute: Callable[[DataFrame], DataFrame],
     broadcast_bytes: int = BROADCAST_BYTES,
+    staged: bool = False,
 ) -> DataFrame:
     """Left join ``rows`` to ``compute(distinct keys)`` on the string column ``key``.
 
     ``compute`` gets ``(key, hits)`` and must return every key once, with both columns. Its result is written once, measured, and then joined:
     broadcast where it is small; otherwise only its hot keys are broadcast and the rest is
     joined by shuffle, the rows of hot and null keys being spread because they are settled already.
+    The rows are read twice; ``staged`` writes them first, for rows that take a shuffle to make.
     """
-    spark = rows.sparkSession
+    if staged:
+        rows = _written(rows, "rows")
     counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("hits"))
-    path = scratch_dir(spark, "lookup")
-    computed = compute(counted)
-    computed.write.parquet(path)
-    table = spark.read.schema(computed.schema).parquet(path)
-
+    table = _written(compute(counted), "lookup")
     size = table.agg(F.sum(row_bytes(table)).alias("bytes"), F.sum("hits").alias("hits")).first()
     extra = [c for c in table.columns if c not in (key, "hits")]
     if (size["bytes"] or 0) <= broadcast_bytes:

@@ -40,7 +40,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         null_if_empty(F.col("ip")).alias("ip"),
         "time",
         *[
-            F.when(complete, tokens[i]).otherwise(UNKNOWN).alias(name)
+            F.when(complete, F.get(tokens, F.lit(i))).otherwise(UNKNOWN).alias(name)
             for i, name in enumerate(REQUEST_COLUMNS)
         ],
         "status",

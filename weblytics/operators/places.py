@@ -93,17 +93,21 @@ def with_places(
     ip: str = "ip",
     broadcast_bytes: int = BROADCAST_BYTES,
     widest_block: int = WIDEST_BLOCK,
+    staged: bool = False,
 ) -> DataFrame:
     """Add country and province; null for addresses outside every range.
 
     ``ranges`` is ``(start_ip, end_ip, country, province)`` with inclusive bounds and no overlap.
     It is measured first. A small table is broadcast and joined on the /16 block, so the hits are
-    not shuffled. A large one is searched once for each distinct address, then joined back.
+    not shuffled. A large one is searched once for each distinct address, then joined back, from
+    rows written first if ``staged``.
     """
     pieces = range_pieces(ranges)
     size, widest = _measure(pieces)
     if size > broadcast_bytes or widest > widest_block:
-        return by_distinct_key(rows, ip, lambda ips: _as_of(ips, ip, pieces), broadcast_bytes)
+        return by_distinct_key(
+            rows, ip, lambda ips: _as_of(ips, ip, pieces), broadcast_bytes, staged
+        )
     numbered = rows.withColumn("_number", ip_number(F.col(ip)))
     inside = (_block(F.col("_number")) == F.col("_block")) & F.col("_number").between(
         F.col("_first"), F.col("_last")

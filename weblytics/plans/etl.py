@@ -23,9 +23,9 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     return with_format_time(web_logs(lines))
 
 
-def _enriched(parsed: DataFrame, ranges: DataFrame | None) -> DataFrame:
-    hits = with_agents(with_format_time(parsed))
-    return with_places(hits, ranges) if ranges is not None else hits
+def _enriched(parsed: DataFrame, ranges: DataFrame | None, staged: bool = False) -> DataFrame:
+    hits = with_agents(with_format_time(parsed), staged=staged)
+    return with_places(hits, ranges, staged=staged) if ranges is not None else hits
 
 
 def all_hits(lines: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
@@ -40,10 +40,11 @@ def keyed_rows(
 
     The upsert comes first, so only the surviving hits are enriched. ``by_key`` arranges them by
     row-key range for the bulk-load layout, before the enrichment, so that the sampling pass of
-    the range exchange does not repeat it.
+    the range exchange does not repeat it. A range table too large to broadcast moves the rows once
+    more, by address, and the key ranges are lost; each written file is sorted all the same.
     """
     latest = latest_hits(lines).drop("line")
-    rows = _enriched(in_key_ranges(latest) if by_key else latest, ranges)
+    rows = _enriched(in_key_ranges(latest) if by_key else latest, ranges, staged=True)
     return rows.select(*[c for c in STORED_ROW.names if c in rows.columns])
 
 

@@ -59,8 +59,17 @@ def render_lines(source: DataFrame) -> DataFrame:
     )
 
 
+def _on_all_cores(rows: DataFrame) -> DataFrame:
+    """Spread a table of fewer splits than cores; a larger one is read as it is stored.
+
+    A test table is one small file, so one task would render and parse all of its lines.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return render_lines(events(spark, sf_dir))
+    return render_lines(_on_all_cores(events(spark, sf_dir)))
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

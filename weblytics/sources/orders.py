@@ -18,5 +18,7 @@ def stream_events(
     reader = spark.readStream.schema(EVENTS)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    head, last = path.rstrip("/")[:-1], path.rstrip("/")[-1]
-    return reader.parquet(f"{head}[{last}]")  # a glob, so that a single file is accepted too
+    path = path.rstrip("/")
+    if not set(path) & set("*?[{"):
+        path = f"{path[:-1]}[{path[-1]}]"  # only as a glob is a single file accepted
+    return reader.parquet(path)
