@@ -12,7 +12,7 @@ from weblytics.sources.logs import read_lines, stream_lines
 from weblytics.sources.orders import read_events, stream_events
 from weblytics.streaming.logs import start_clean
 from weblytics.streaming.orders import live_orders, start_upsert
-from weblytics.streaming.upsert import read_upserted, start_upserted, upsert_writer
+from weblytics.streaming.upsert import fold_upserted, read_upserted, start_upserted, upsert_writer
 
 from test_keys import line
 
@@ -132,6 +132,20 @@ def test_newest_batch_wins_and_a_replay_replaces(spark, tmp_path):
     assert rows(read_upserted(spark, path, schema, ["k"])) == [("a", 6), ("b", 1)]
 
 
+def test_fold_between_two_runs(spark, tmp_path, folder):
+    summary, keys = SUMMARIES["totals"]
+    first, second, checkpoint = (str(tmp_path / n) for n in ("first", "second", "checkpoint"))
+    results = summary(live_orders(stream_events(spark, folder, 1), None))
+    start_upsert(results, first, checkpoint).awaitTermination()
+    fold_upserted(spark, first, second, results.schema, keys)
+    assert len([n for n in os.listdir(second) if n.startswith("batch_id=")]) == 1
+    write_events(spark, folder, [event(5), event(2000)])
+    results = summary(live_orders(stream_events(spark, folder, 1), None))
+    start_upsert(results, second, checkpoint).awaitTermination()
+    found = read_upserted(spark, second, results.schema, keys)
+    assert rows(found) == rows(summary(O.orders_of_events(read_events(spark, folder))))
+
+
 def test_log_stream_equals_batch(spark, tmp_path):
     logs, out = str(tmp_path / "logs"), str(tmp_path / "out")
     for part in range(2):

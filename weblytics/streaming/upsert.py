@@ -24,13 +24,29 @@ def start_upserted(spark: SparkSession, path: str, schema: T.StructType) -> None
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{_BATCH}=-1")
 
 
+def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    stored = T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType(), True)])
+    return spark.read.schema(stored).parquet(path)
+
+
 def read_upserted(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
 ) -> DataFrame:
     """For each key the row of the newest batch that wrote it."""
-    stored = T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType(), True)])
     values = [c for c in schema.names if c not in keys]
     newest = F.max_by(F.struct(*values), F.col(_BATCH)).alias("_newest")
-    written = spark.read.schema(stored).parquet(path)
-    latest = written.groupBy(*keys).agg(newest)
+    latest = _written(spark, path, schema).groupBy(*keys).agg(newest)
     return latest.select(*keys, *[F.col(f"_newest.{v}").alias(v) for v in values])
+
+
+def fold_upserted(
+    spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str]
+) -> None:
+    """Write the newest rows of many batches as one batch of a new folder.
+
+    For use between two runs of a stream, which then goes on with ``target`` and its checkpoint:
+    its next batch is newer than the folded one. The old folder is left as it is.
+    """
+    last = _written(spark, path, schema).agg(F.max(_BATCH)).first()[0]
+    folded = read_upserted(spark, path, schema, keys)
+    folded.write.mode("overwrite").parquet(f"{target}/{_BATCH}={last or 0}")
