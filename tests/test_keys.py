@@ -1,5 +1,6 @@
 """Row keys, upsert, cells."""
 
+import random
 import zlib
 from datetime import datetime, timedelta
 
@@ -80,6 +81,24 @@ def test_all_hits_counts_lines_and_keyed_rows_counts_keys(spark):
     assert keyed_rows(lines).count() == 2
 
 
+def test_upsert_against_brute_force(spark):
+    rng = random.Random(3)
+    pairs = set()
+    for _ in range(600):
+        text = line(rng.randrange(20), url=f"/{rng.randrange(9)}", sent=str(rng.randrange(30)),
+                    ip=rng.choice(["", "1.1.1.1", "2.2.2.2"]))
+        pairs.add((rng.choice(["20240101", "20240102"]), text))
+    expected = {}
+    for day, text in pairs:
+        ip, time, url = text.split(" ")[0], text.split("[")[1][:20], text.split(" ")[6]
+        key = f"{day}_{zlib.crc32(('-' + url + (ip or 'null')).encode())}"
+        expected[key] = max(expected.get(key, ("", "")), (time, text))
+    lines = spark.createDataFrame(sorted(pairs), "day string, line string").repartition(7)
+    found = {r["rowkey"]: r["line"] for r in latest_hits(lines).collect()}
+    assert found == {key: text for key, (_, text) in expected.items()}
+    assert len(found) == 2 * 9 * 3
+
+
 def test_upsert_is_one_shuffle_with_partial_aggregation(spark, plan):
     text = plan(latest_hits(lines_of(spark, line())))
     assert text.count("Exchange ") == 1

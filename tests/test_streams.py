@@ -6,6 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 
 from weblytics.operators import orders as O
+from weblytics.operators.parse import parse_lines
+from weblytics.operators.places import with_places
 from weblytics.plans.etl import web_logs
 from weblytics.schema import EVENTS, WEB_LOG
 from weblytics.sources.logs import read_lines, stream_lines
@@ -146,6 +148,23 @@ def test_fold_between_two_runs(spark, tmp_path, folder):
     assert rows(found) == rows(summary(O.orders_of_events(read_events(spark, folder))))
 
 
+def test_places_of_a_log_stream(spark, tmp_path):
+    logs, out = str(tmp_path / "logs"), str(tmp_path / "out")
+    texts = [(line(i, ip=f"10.{i}.0.1"),) for i in range(6)]
+    spark.createDataFrame(texts, "line string").write.text(logs)
+    ranges = spark.createDataFrame(
+        [((10 << 24) + (i << 16), (10 << 24) + (i << 16) + 65_535, "c", f"p{i}") for i in range(4)],
+        "start_ip long, end_ip long, country string, province string",
+    )
+    parsed = parse_lines(stream_lines(spark, logs)).select("ip")
+    with pytest.raises(ValueError, match="stream"):
+        with_places(parsed, ranges, broadcast_bytes=0)
+    writer = with_places(parsed, ranges).writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+    writer.trigger(availableNow=True).format("parquet").start(out).awaitTermination()
+    found = {r["ip"]: r["province"] for r in spark.read.parquet(out).collect()}
+    assert found == {f"10.{i}.0.1": f"p{i}" if i < 4 else None for i in range(6)}
+
+
 def test_log_stream_equals_batch(spark, tmp_path):
     logs, out = str(tmp_path / "logs"), str(tmp_path / "out")
     for part in range(2):

@@ -41,6 +41,8 @@ def by_distinct_key(
     joined by shuffle, the rows of hot and null keys being spread because they are settled already.
     The rows are read twice; ``staged`` writes them first, for rows that take a shuffle to make.
     """
+    if rows.isStreaming:
+        raise ValueError("a stream cannot be read twice; it needs the form without distinct keys")
     if staged:
         rows = _written(rows, "rows")
     counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("hits"))
