@@ -57,9 +57,10 @@ def test_grains_in_any_session_zone(spark, some, grain, zone):
 
 @pytest.mark.parametrize(("size", "slide"), [(60, None), (120, 60), (180, 60), (100, 60), (3600, 900)])
 def test_windows(spark, some, size, slide):
+    windows = O.paid_windows(O.orders_of_events(spark.createDataFrame(some, EVENTS)), size, slide)
     found = {
         (r["window_start"], r["window_end"]): (r["paid_orders"], round(r["paid_amount"] * 100))
-        for r in O.paid_windows(O.orders_of_events(spark.createDataFrame(some, EVENTS)), size, slide).collect()
+        for r in windows.collect()
     }
     expected = {}
     epoch = datetime(1970, 1, 1)

@@ -36,10 +36,11 @@ def by_distinct_key(
 ) -> DataFrame:
     """Left join ``rows`` to ``compute(distinct keys)`` on the string column ``key``.
 
-    ``compute`` gets ``(key, hits)`` and must return every key once, with both columns. Its result is written once, measured, and then joined:
-    broadcast where it is small; otherwise only its hot keys are broadcast and the rest is
-    joined by shuffle, the rows of hot and null keys being spread because they are settled already.
-    The rows are read twice; ``staged`` writes them first, for rows that take a shuffle to make.
+    ``compute`` gets ``(key, hits)`` and must return every key once, with both columns. Its result
+    is written once, measured, and then joined: broadcast where it is small; otherwise only its hot
+    keys are broadcast and the rest is joined by shuffle, the rows of hot and null keys being
+    spread because they are settled already. The rows are read twice; ``staged`` writes them
+    first, for rows that take a shuffle to make.
     """
     if rows.isStreaming:
         raise ValueError("a stream cannot be read twice; it needs the form without distinct keys")
