@@ -91,7 +91,20 @@ def test_quotes_inside_the_agent(spark):
     assert row["agent"] == 'b\\"c'
 
 
-@pytest.mark.parametrize("line", [EXTRA, "garbage", "", NORMAL + "\n", "a\nb\nc\nd\ne\nf\ng", None])
+@pytest.mark.parametrize(
+    "line",
+    [
+        EXTRA,
+        "garbage",
+        "",
+        NORMAL + "\n",
+        "a\nb",
+        "\na\rb\rc\rd\re\rf\rg",
+        NORMAL.replace("(x)", "(\rx)"),
+        NORMAL.replace("(x)", "(\nx)"),
+        None,
+    ],
+)
 def test_other_lines_are_dropped(spark, line):
     lines = lines_of(spark, line)
     assert parse_lines(lines).isEmpty()

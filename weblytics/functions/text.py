@@ -30,17 +30,17 @@ _KEPT_GROUPS = (1, 4, 5, 6, 7, 8, 9)
 PART_NAMES = ("ip", "time", "request", "status", "bytesent", "refer", "agent")
 
 
-def line_parts(line: Column) -> Column:
-    """Array of the groups in ``PART_NAMES`` from one regex pass; null if the line does not match.
+MATCH_MARK = "\n"
+PART_MARK = "\r"
 
-    No group can hold a line feed (``.`` and ``\\S`` exclude it), so it separates the groups
-    safely; a line that has one of its own cannot match.
+
+def marked_parts(line: Column) -> Column:
+    """The groups in ``PART_NAMES`` as one text with marks, or the line itself if it does not match.
+
+    Neither mark can occur in a group, because ``.`` and ``\\S`` exclude both.
     """
-    template = "\n".join(f"${g}" for g in _KEPT_GROUPS)
-    replaced = F.regexp_replace(line, F.lit(WHOLE_LINE_PATTERN), F.lit(template))
-    groups = F.split(replaced, "\n", -1)
-    matched = F.filter(F.array(groups), lambda g: F.size(g) == len(_KEPT_GROUPS))
-    return F.when(~F.contains(line, F.lit("\n")), matched)
+    template = MATCH_MARK + PART_MARK.join(f"${g}" for g in _KEPT_GROUPS)
+    return F.regexp_replace(line, F.lit(WHOLE_LINE_PATTERN), F.lit(template))
 
 
 def request_parts(request: Column) -> Column:

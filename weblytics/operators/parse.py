@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from weblytics.functions.clock import format_time, log_instant, minute_text
 from weblytics.functions.text import (
+    MATCH_MARK,
+    PART_MARK,
     PART_NAMES,
     UNKNOWN,
     WHOLE_LINE_PATTERN,
     info_hash,
     joined_text,
-    line_parts,
+    marked_parts,
     null_if_empty,
     request_parts,
     row_key,
@@ -23,10 +25,13 @@ from weblytics.schema import NARROW_LOG_COLUMNS, REQUEST_COLUMNS
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Parse ``line``; lines that do not match are dropped, other input columns are kept.
 
-    ``explode`` of a null array drops the row, so matching and dropping share one regex pass:
-    a ``where`` on the parsed array would be pushed below it and run the regex again.
+    Only a matching line splits in two at the match mark, so matching and dropping share one regex
+    pass: a test of the parsed columns themselves would be pushed below and run the regex again.
     """
-    parts = lines.select("*", F.explode(line_parts(F.col("line"))).alias("_parts"))
+    one_line = lines.where(~F.contains("line", F.lit(MATCH_MARK)))
+    split = F.posexplode(F.split(marked_parts(F.col("line")), MATCH_MARK, -1))
+    matched = one_line.select("*", split.alias("_at", "_text")).where(F.col("_at") == 1)
+    parts = matched.select(*lines.columns, F.split("_text", PART_MARK, -1).alias("_parts"))
     part = {name: F.col("_parts")[i] for i, name in enumerate(PART_NAMES)}
     named = parts.select(
         *lines.columns,
