@@ -18,12 +18,13 @@ from weblytics.llm.common import crc_of_id, texts
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
+OTHERS = re.compile(r"[\W\d_]+")
 BLOCK = 4096
-LEVEL = 6
+LEVEL = 5
 FRAME = 8  # bytes of a frame that no text decides
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCUMENTS = 200  # for each language
-NARROW = 0.01
+NARROW = 0.005
 
 
 def learn(docs: DataFrame, lang_col: str = "lang", dictionary_bytes: int = DICTIONARY_BYTES, **names: str) -> dict[str, bytes]:
@@ -58,8 +59,13 @@ def learn(docs: DataFrame, lang_col: str = "lang", dictionary_bytes: int = DICTI
     )
     joined: dict[str, list[bytes]] = {}
     for row in sorted(found, key=lambda r: (r["lang"], r["turn"], r["text"])):
-        joined.setdefault(row["lang"], []).append(row["text"].encode())
-    return {lang: b"\n".join(parts)[:dictionary_bytes] for lang, parts in joined.items()}
+        joined.setdefault(row["lang"], []).append(letters(row["text"]))
+    return {lang: b" ".join(parts)[:dictionary_bytes] for lang, parts in joined.items()}
+
+
+def letters(text: str) -> bytes:
+    """The text's words in lower case, with one space for all between them: case and signs are no language."""
+    return OTHERS.sub(" ", text.lower()).encode()
 
 
 class Classifier:
@@ -87,7 +93,7 @@ class Classifier:
         """Language and margin, the share by which the next language is larger, 0 to 1."""
         if not text or not LETTER.search(text) or not self.langs:
             return UNKNOWN, 0.0
-        sizes = self.sizes(text.encode())
+        sizes = self.sizes(letters(text))
         order = sorted(range(len(sizes)), key=lambda k: (sizes[k], k))
         best = max(1, sizes[order[0]])
         if len(order) == 1:

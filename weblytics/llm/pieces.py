@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,8 +23,8 @@ from weblytics.llm.common import texts
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 FALLBACK_PENALTY = 10.0
-UNSET = -1e8  # scores below mark pieces that are placed by rule, not by score
-CACHED_UNITS = 200_000
+UNSET = -1e8  # scores below are placeholders; such pieces count as the least likely
+CACHED_UNITS = 150_000  # in each of two halves, for each Python worker
 LONGEST_CACHED = 64
 
 
@@ -40,49 +41,58 @@ class PieceCoder:
 
         self.automaton = ahocorasick.Automaton()
         scores = [s for p, s in vocabulary if p and s > UNSET]
-        self.fallback = min(scores, default=0.0) - FALLBACK_PENALTY
+        least = min(scores, default=0.0)
+        self.fallback = least - FALLBACK_PENALTY
         self.bytes_of = [p.replace(SPACE, " ").encode() for p, _ in vocabulary]
         for i, (piece, score) in enumerate(vocabulary):
             if piece:
-                self.automaton.add_word(piece, (len(piece), score, i))
+                self.automaton.add_word(piece, (len(piece), score if score > UNSET else least, i))
+        if not self.automaton.exists(SPACE):
+            raise ValueError("the vocabulary has no piece for a space")  # its bytes would decode to U+2581
         self.automaton.make_automaton()
         self.byte_ids = byte_ids
         for value, i in enumerate(byte_ids):
             self.bytes_of[i] = bytes([value])
         self.by_unit = not any(SPACE in p.lstrip(SPACE) for p, _ in vocabulary)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def best_path(self, text: str) -> list[int]:
         """Ids of the path with the largest sum of scores; of equal ones the longest last piece."""
         n = len(text)
-        best, back = [0.0] * (n + 1), [(1, -1)] * (n + 1)
-        done, fallback = 0, self.fallback
-        for end, (length, score, i) in self.automaton.iter(text):
+        best, back = [0.0], [None] * (n + 1)  # no piece: one character as bytes
+        push, fallback, done = best.append, self.fallback, 0
+        for end, piece in self.automaton.iter(text):
             while done <= end:
-                best[done + 1] = best[done] + fallback
+                push(best[done] + fallback)
                 done += 1
-            if (found := best[end + 1 - length] + score) > best[end + 1]:
-                best[end + 1] = found
-                back[end + 1] = (length, i)
-        ids: list[int] = []  # positions after the last match keep the fallback
+            found = best[done - piece[0]] + piece[1]
+            if found > best[done]:
+                best[done] = found
+                back[done] = piece
+        ids: list[int] = []
         at = n
         while at:
-            length, i = back[at]
-            if i < 0:
-                ids += [self.byte_ids[b] for b in reversed(text[at - 1].encode())]
+            if piece := back[at]:
+                ids.append(piece[2])
+                at -= piece[0]
             else:
-                ids.append(i)
-            at -= length
-        return ids[::-1]
+                ids += [self.byte_ids[b] for b in reversed(text[at - 1].encode())]
+                at -= 1
+        ids.reverse()
+        return ids
 
     def _unit(self, unit: str) -> bytes:
         found = self.known.get(unit)
         if found is None:
-            found = np.array(self.best_path(unit), dtype="<i4").tobytes()
-            if len(unit) <= LONGEST_CACHED:
-                if len(self.known) >= CACHED_UNITS:
-                    self.known.clear()
-                self.known[unit] = found
+            found = self.before.get(unit)
+            if found is None:
+                found = array("i", self.best_path(unit)).tobytes()
+                if len(unit) > LONGEST_CACHED:
+                    return found
+            if len(self.known) >= CACHED_UNITS:  # the words in use move over from the older half
+                self.before, self.known = self.known, {}
+            self.known[unit] = found
         return found
 
     def encode(self, text: str) -> np.ndarray:
