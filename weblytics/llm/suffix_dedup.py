@@ -37,6 +37,7 @@ from weblytics.llm.loser_tree import common_prefixes, front_code, front_decode,
 SPAN = 50
 BLOCK_BYTES = 16 << 20
 SLICE_BITS = 19  # bytes hashed at once; places inside a slice fill the low bits of a hash
+BUCKETS_PER_PARTITION = 4  # a task holds one bucket at a time
 HASH_BYTES = 6
 MANY = 4096  # suffixes of one class above which it is sent as single windows
 NO_ID = (1 << 63) - 1
@@ -55,7 +56,7 @@ def prefix_bytes(span: int) -> int:
 
 def _pack(*arrays: np.ndarray) -> bytes:
     heads = np.array([a.nbytes for a in arrays], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(heads + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=3).compress(heads + b"".join(a.tobytes() for a in arrays))
 
 
 def _unpack(payload: bytes, *kinds: str) -> list[np.ndarray]:
@@ -153,7 +154,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def block() -> pa.RecordBatch:
-        packed = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+        packed = zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
         sizes = np.array([len(p) for p in parts], "<i8")
         values = [[number], [np.array(ids, "<i8").tobytes()], [np.array(nulls, bool).tobytes()], [sizes.tobytes()], [packed]]
         return pa.record_batch(
@@ -410,7 +411,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, **names: str) -> DataFrame
     longer than a block is one block.
     """
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     work = SuffixDedup(span, buckets)  # Spark counts the parameters of a bound method wrongly, so lambdas
     blocks = written(texts(docs, **names).mapInArrow(_to_blocks, BLOCK_SCHEMA), "blocks")
     hashes = blocks.mapInArrow(work.send_hashes, SENT)
