@@ -1,0 +1,80 @@
+"""Small tables with every hard case, and brute-force versions of the operators."""
+
+import random
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, shard string, fp string, hash string"
+
+
+def hard_rows(seed=3):
+    """Nulls, empty and long texts, ties, repeated rows, copies, shared passages; ids without order."""
+    rng = random.Random(seed)
+    words = ["alpha", "Beta", "gämma", "delta", "ēpsilon", "zeta", "eta", "θeta", "iota", "kappa", "lambda", "mu"]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage = say(40)
+    line = "A line that many of these documents share"
+    base = say(60)
+    texts = [
+        None, "", " ", "x", "\n", "\n\n", "a\nb", say(5), say(5000), passage, say(9) + passage + say(9), passage + say(3),
+        say(2) + " " + passage, f"{line}\n{say(6)}\n  {line.upper()}\t", f"{say(4)}\n{line}", line, base, base, base.upper(),
+        base + " one", base + " two more", "z" * 300, "z" * 301, "ab" * 90, "日本語のテキスト " * 20, "日本語のテキスト " * 20 + "x", "🙂" * 40,
+        "▁ a▁b", "tab\there", "short line", "short line", "0123456789" * 6, "0123456789" * 6 + "q", "a b c", "A B C", "a b",
+    ]
+    texts += [say(rng.randint(1, 80)) for _ in range(60)]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    rows = [(i * 7 - 50, t) for i, t in zip(ids, texts)]
+    rows += [rows[9], rows[9], rows[8], (None, "no id"), (None, base), (None, None)]
+    return rows
+
+
+def table(spark, rows, partitions=3):
+    full = [(i, t, None if k % 5 == 0 else "en" if k % 2 else "de", "s", None, "x", "y", "z", "h") for k, (i, t) in enumerate(rows)]
+    return spark.createDataFrame(full, SCHEMA).repartition(partitions)
+
+
+def lower(text):
+    return (text or "").encode().lower()
+
+
+def removed_bytes(rows, span=50):
+    """By (doc_id, text): flags of the bytes to remove."""
+    big = (1 << 63) - 1
+    first = {}
+    for i, t in rows:
+        raw = (t or "").encode()
+        for p in range(len(raw) - span + 1):
+            key = raw[p : p + span]
+            first[key] = min(first.get(key, big), big if i is None else i)
+    out = {}
+    for i, t in rows:
+        raw = (t or "").encode()
+        gone = [False] * len(raw)
+        for p in range(len(raw) - span + 1):
+            if (big if i is None else i) > first[raw[p : p + span]]:
+                gone[p : p + span] = [True] * span
+        out[(i, t)] = gone
+    return out
+
+
+def simhash(text, words=3):
+    import xxhash
+
+    tokens = lower(text).split()
+    shingles = [b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))] if tokens else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints, bits):
+    """Smallest id that each id can reach; ``prints`` is id to fingerprint."""
+    ids = sorted(prints)
+    label = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a in ids:
+            for b in ids:
+                if label[b] < label[a] and (prints[a] ^ prints[b]).bit_count() <= bits:
+                    label[a] = label[b]
+                    changed = True
+    return label

@@ -1,0 +1,121 @@
+"""The pipeline against brute force stage by stage, its queries against SQL, and its package left out."""
+
+import os
+import subprocess
+import sys
+from collections import defaultdict
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from helpers import components, hard_rows, lower, removed_bytes, simhash, table
+from weblytics.llm import lang_id, packing
+from weblytics.llm.queries import llm_oracles, llm_queries
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, hard_rows())
+
+
+def pairs(frame):
+    return sorted(((r.doc_id, r.text) for r in frame.collect()), key=repr)
+
+
+def test_columns_stay(spark, docs, sf_dir):
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, sf_dir).schema.names == docs.schema.names
+        assert stage(spark, docs.where("false"), sf_dir).count() == 0
+    assert corpus_pipeline.packing_stage(spark, docs.where("false"), sf_dir).count() == 0
+
+
+def test_language_stage(spark, docs, sf_dir):
+    found = lang_id.predict_languages(docs, lang_id.learn(docs), corpus_pipeline.REJECT_MARGIN)
+    stay = {r.doc_id for r in found.where("NOT rejected").collect()}
+    want = sorted(((r.doc_id, r.text) for r in docs.collect() if r.doc_id in stay), key=repr)
+    assert pairs(corpus_pipeline.language_stage(spark, docs, sf_dir)) == want
+
+
+def test_exact_stage(spark, docs, sf_dir):
+    best = {}
+    for r in docs.collect():
+        rank = -(1 << 63) if r.doc_id is None else r.doc_id
+        best[lower(r.text)] = max(best.get(lower(r.text), (rank, r.doc_id)), (rank, r.doc_id), key=lambda x: x[0])
+    found = corpus_pipeline.exact_stage(spark, docs, sf_dir).collect()
+    assert {lower(r.text): r.doc_id for r in found} == {k: v[1] for k, v in best.items()}
+    assert len(found) == len(best)
+
+
+def test_near_stage(spark, sf_dir):
+    rows = [(i, t) for i, t in {i: t for i, t in hard_rows() if i is not None}.items()]
+    label = components({i: simhash(t) for i, t in rows}, 3)
+    want = sorted(((i, t) for i, t in rows if label[i] == i), key=repr)
+    assert pairs(corpus_pipeline.near_stage(spark, table(spark, rows), sf_dir)) == want
+
+
+def test_passage_stage(spark, docs, sf_dir):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    gone = removed_bytes(rows)
+    want = []
+    for i, t in rows:
+        left = bytes(b for b, g in zip((t or "").encode(), gone[(i, t)]) if not g).decode("utf-8", "ignore")
+        want.append((i, None if t is None else left))
+    assert pairs(corpus_pipeline.passage_stage(spark, docs, sf_dir)) == sorted(want, key=repr)
+
+
+def test_run(spark, sf_dir):
+    from tokenizers import Tokenizer
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stay = {r.doc_id for r in lang_id.predict_languages(whole, lang_id.learn(whole)).where("NOT rejected").collect()}
+    groups = defaultdict(list)
+    for i, t in rows:
+        if i in stay:
+            groups[lower(t)].append((i, t))
+    rows = [max(g) for g in groups.values()]
+    label = components({i: simhash(t) for i, t in rows}, 3)
+    rows = [(i, t) for i, t in rows if label[i] == i]
+    gone = removed_bytes(rows)
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    want = {}
+    for i, t in rows:
+        left = bytes(b for b, g in zip(t.encode(), gone[(i, t)]) if not g).decode("utf-8", "ignore")
+        want[i] = len(tokenizer.encode(left, add_special_tokens=False).ids) + 1
+    found = corpus_pipeline.run(spark, sf_dir).collect()
+    total = defaultdict(int)
+    for r in found:
+        total[r.doc_id] += r.length
+    assert dict(total) == want and len(want) > 100
+
+
+@pytest.mark.parametrize("name", sorted(llm_oracles()))
+def test_queries_equal_sql(spark, sf_dir, name):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    want = connection.execute(llm_oracles()[name])
+    columns = sorted(c[0] for c in want.description)
+    order = [[c[0] for c in want.description].index(c) for c in columns]
+    expected = sorted(repr(tuple(r[i] for i in order)) for r in want.fetchall())
+    found = llm_queries()[name](spark, sf_dir)
+    assert sorted(found.columns) == columns
+    assert sorted(repr(tuple(r)) for r in found.select(*columns).collect()) == expected
+
+
+@pytest.mark.parametrize("name", sorted(llm_queries()))
+def test_queries_cover_the_table(spark, sf_dir, name):
+    found = llm_queries()[name](spark, sf_dir)
+    ids = {r.doc_id for r in found.select("doc_id").collect()}
+    assert ids == {r.doc_id for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect()}
+
+
+def test_entry_without_the_package(tmp_path):
+    """The rest imports with the package and the pipeline gone."""
+    top = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    code = (
+        "import sys; sys.modules['weblytics.llm'] = None; sys.modules['corpus_pipeline'] = None\n"
+        "import __spark_entry__ as e; assert e.queries() and not any(n.startswith('op') for n in e.queries())\n"
+        "assert set(e.queries()) == set(e.oracle_sql())"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=top, check=True)

@@ -25,7 +25,14 @@ def half_bits(n: int) -> int:
 
 
 def round_keys(seed: int) -> list[int]:
-    return [(seed + STEP * (i + 1)) % (1 << 64) for i in range(ROUNDS)]
+    """Keys in which each bit of the seed reaches all bits, so near seeds share nothing."""
+    keys = []
+    for i in range(ROUNDS):
+        key = (seed * ROUNDS + i + 1) * MULTIPLIER % (1 << 64)
+        key = (key ^ key >> 30) * STEP % (1 << 64)
+        key = (key ^ key >> 27) * MULTIPLIER % (1 << 64)
+        keys.append(key ^ key >> 31)
+    return keys
 
 
 def _network(values: np.ndarray, half: int, keys: list[int]) -> np.ndarray:

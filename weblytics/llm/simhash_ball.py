@@ -88,9 +88,7 @@ def _with_neighbours(known: DataFrame, max_bits: int) -> DataFrame:
         tagged = value.bitwiseOR(half << 32)
         near = F.array(tagged)
         if max_bits >= 2:
-            near = F.when(
-                _odd(value), F.concat(near, F.transform(F.lit(_masks(1, 0, 32)), lambda m, t=tagged: t.bitwiseXOR(m)))
-            ).otherwise(near)
+            near = F.when(_odd(value), F.concat(near, _flips(tagged, _masks(1, 0, 32)))).otherwise(near)
         keys.append(near)
     dealt = known.select("fp", F.explode(F.concat(*keys)).alias("key"))
     shared = written(
