@@ -51,6 +51,17 @@ def test_a_day_can_become_empty(spark, tmp_path):
     assert keys(scan_days(spark, root)) == [("20240102", "b")]
 
 
+def test_failed_load_leaves_the_old_day(spark, tmp_path):
+    root = str(tmp_path / "t")
+    replace_day(rows_of(spark, ("20240101", "a", "/"), ("20240101", "b", "/")), root, "20240101")
+    broken = rows_of(spark, ("20240101", "c", "/")).withColumn(
+        "url", F.when(F.col("rowkey") == "c", F.raise_error(F.lit("lost"))).otherwise("/")
+    )
+    with pytest.raises(Exception, match="lost"):
+        replace_day(broken, root, "20240101")
+    assert keys(scan_days(spark, root)) == [("20240101", "a"), ("20240101", "b")]
+
+
 def test_replace_day_takes_only_that_day(spark, tmp_path):
     root = str(tmp_path / "t")
     replace_day(rows_of(spark, ("20240101", "a", "/"), ("20240102", "b", "/")), root, "20240102")

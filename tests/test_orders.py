@@ -6,6 +6,9 @@ import pytest
 
 from weblytics.operators import orders as O
 from weblytics.plans.fixtures import events
+from weblytics.sources.orders import stream_events
+from weblytics.streaming.orders import live_orders, start_upsert
+from weblytics.streaming.upsert import read_upserted
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
 
@@ -87,5 +90,37 @@ def test_filter_and_columns_reach_the_scan(spark, sf_dir, plan):
 
 def test_sliding_windows_copy_panes_not_rows(spark, sf_dir, plan):
     text = plan(O.paid_windows(O.orders_of_events(events(spark, sf_dir)), 3600, 900))
-    assert text.index("explode") < text.index("partial_sum(cast(rint")  # above the pane totals
+    assert text.index("explode") < text.index("partial_sum(coalesce(try_cast(rint")  # above the pane totals
     assert "Expand" not in text
+
+
+@pytest.mark.parametrize("stream", [False, True], ids=["batch", "stream"])
+def test_amounts_that_are_no_number(spark, tmp_path, stream):
+    """Such orders are counted and add nothing."""
+    amounts = [1.25, float("nan"), float("inf"), -float("inf"), 1e300, None]
+    events = spark.createDataFrame([(i, 1, "purchase", a) for i, a in enumerate(amounts)], "event_id long, user_id long, event_type string, value double")
+    events = events.selectExpr("event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "user_id", "event_type", "value")
+    if stream:
+        folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+        events.write.parquet(folder)
+        results = O.paid_totals(live_orders(stream_events(spark, folder), None), "day")
+        start_upsert(results, out, str(tmp_path / "cp")).awaitTermination()
+        found = read_upserted(spark, out, results.schema, ["bucket"])
+    else:
+        found = O.paid_totals(O.orders_of_events(events), "day")
+    assert [tuple(r)[1:] for r in found.select("bucket", "paid_orders", "paid_amount").collect()] == [(6, 1.25)]
+
+
+def test_timestamp_stream_in_another_zone(spark, tmp_path):
+    """A source with instants, not local times, is taken as it is."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+        rows = spark.sql("SELECT timestamp_seconds(1704067200L) AS ts, 'purchase' AS event_type, 1.0D AS value")
+        rows.write.parquet(folder)
+        results = O.paid_totals(live_orders(spark.readStream.schema(rows.schema).parquet(folder), None), "hour")
+        start_upsert(results, out, str(tmp_path / "cp")).awaitTermination()
+        assert read_upserted(spark, out, results.schema, ["bucket"]).first()["bucket"] == "2024-01-01 00:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -64,8 +64,8 @@ def placed(df):
 
 @pytest.mark.parametrize(
     "limits",
-    [{}, {"broadcast_bytes": 0}, {"widest_block": 0}],
-    ids=["broadcast", "salted", "as-of"],
+    [{}, {"broadcast_bytes": 0}, {"widest_block": 0}, {"widest_block": 2}],
+    ids=["broadcast", "as-of", "all-dense", "mixed"],
 )
 def test_places_against_brute_force(spark, table, hits, limits):
     df = spark.createDataFrame(hits, "ip string, i int")

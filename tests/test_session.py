@@ -9,9 +9,23 @@ class Conf(dict):
     pass
 
 
+class Context:
+    def __init__(self, checkpoints):
+        self.checkpoints = checkpoints
+
+    def getCheckpointDir(self):
+        return self.checkpoints
+
+
 class Session:
-    def __init__(self, **settings):
+    def __init__(self, checkpoints=None, **settings):
         self.conf = Conf({k.replace("_", "."): v for k, v in settings.items()})
+        self.sparkContext = Context(checkpoints)
+
+
+def test_checkpoint_folder_of_the_context_is_honoured():
+    session = Session(checkpoints="hdfs://x/set", spark_master="yarn")
+    assert scratch_dir(session, "a").startswith("hdfs://x/set/weblytics-a-")
 
 
 def test_shared_folder_is_used_where_it_is_named():

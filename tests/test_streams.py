@@ -140,7 +140,7 @@ def test_fold_between_two_runs(spark, tmp_path, folder):
     results = summary(live_orders(stream_events(spark, folder, 1), None))
     start_upsert(results, first, checkpoint).awaitTermination()
     fold_upserted(spark, first, second, results.schema, keys)
-    assert len([n for n in os.listdir(second) if n.startswith("batch_id=")]) == 1
+    assert len([n for n in os.listdir(second) if n.startswith("batch_id=")]) == 2
     write_events(spark, folder, [event(5), event(2000)])
     results = summary(live_orders(stream_events(spark, folder, 1), None))
     start_upsert(results, second, checkpoint).awaitTermination()
@@ -148,7 +148,37 @@ def test_fold_between_two_runs(spark, tmp_path, folder):
     assert rows(found) == rows(summary(O.orders_of_events(read_events(spark, folder))))
 
 
-def test_places_of_a_log_stream(spark, tmp_path):
+def test_replay_of_the_last_batch_after_a_fold(spark, tmp_path):
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    schema = spark.createDataFrame([], "k string, v long").schema
+    start_upserted(spark, first, schema)
+    write = upsert_writer(first)
+    write(spark.createDataFrame([("a", 1), ("b", 1)], schema), 0)
+    write(spark.createDataFrame([("b", 2)], schema), 1)
+    fold_upserted(spark, first, second, schema, ["k"])
+    start_upserted(spark, second, schema)
+    assert rows(read_upserted(spark, second, schema, ["k"])) == [("a", 1), ("b", 2)]
+    again = upsert_writer(second)
+    again(spark.createDataFrame([("b", 3)], schema), 1)
+    assert rows(read_upserted(spark, second, schema, ["k"])) == [("a", 1), ("b", 3)]
+    again(spark.createDataFrame([("a", 4)], schema), 2)
+    assert rows(read_upserted(spark, second, schema, ["k"])) == [("a", 4), ("b", 3)]
+
+
+def test_fold_of_a_stream_without_batches(spark, tmp_path):
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    schema = spark.createDataFrame([], "k string, v long").schema
+    start_upserted(spark, first, schema)
+    fold_upserted(spark, first, second, schema, ["k"])
+    upsert_writer(second)(spark.createDataFrame([("a", 1)], schema), 0)
+    assert rows(read_upserted(spark, second, schema, ["k"])) == [("a", 1)]
+
+
+@pytest.mark.parametrize(
+    "limits", [{}, {"broadcast_bytes": 0}, {"widest_block": 0}, {"broadcast_bytes": 0, "widest_block": 0}],
+    ids=["broadcast", "shuffled", "dense", "dense-shuffled"],
+)
+def test_places_of_a_log_stream(spark, tmp_path, limits):
     logs, out = str(tmp_path / "logs"), str(tmp_path / "out")
     texts = [(line(i, ip=f"10.{i}.0.1"),) for i in range(6)]
     spark.createDataFrame(texts, "line string").write.text(logs)
@@ -157,9 +187,8 @@ def test_places_of_a_log_stream(spark, tmp_path):
         "start_ip long, end_ip long, country string, province string",
     )
     parsed = parse_lines(stream_lines(spark, logs)).select("ip")
-    with pytest.raises(ValueError, match="stream"):
-        with_places(parsed, ranges, broadcast_bytes=0)
-    writer = with_places(parsed, ranges).writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+    found = with_places(parsed, ranges, **limits)
+    writer = found.writeStream.option("checkpointLocation", str(tmp_path / "cp"))
     writer.trigger(availableNow=True).format("parquet").start(out).awaitTermination()
     found = {r["ip"]: r["province"] for r in spark.read.parquet(out).collect()}
     assert found == {f"10.{i}.0.1": f"p{i}" if i < 4 else None for i in range(6)}

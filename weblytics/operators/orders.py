@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weblytics.functions.clock import ntz_instant, seconds_of, seconds_text
 
@@ -17,7 +18,9 @@ PAID_STATUS = "F"
 
 def orders_of_events(events: DataFrame) -> DataFrame:
     """``(ts, paid, amount)`` of the placed orders among the events."""
-    ts = ntz_instant(F.col("ts")) if events.isStreaming else F.col("ts")
+    ts = F.col("ts")
+    if events.isStreaming and isinstance(events.schema["ts"].dataType, T.TimestampNTZType):
+        ts = ntz_instant(ts)
     return events.where(F.col("event_type").isin(*PLACED_EVENTS)).select(
         ts.alias("ts"),
         (F.col("event_type") == PAID_EVENT).alias("paid"),
@@ -35,8 +38,11 @@ def orders_of_table(orders: DataFrame) -> DataFrame:
 
 
 def _paid_measures(paid: DataFrame, *keys) -> DataFrame:
-    """Count and amount in whole cents: integer sums do not depend on the order of addition."""
-    cents = F.rint(F.col("amount") * 100).cast("bigint")
+    """Count and amount in whole cents: integer sums do not depend on the order of addition.
+
+    An order whose amount is null, NaN or beyond 64 bits of cents is counted and adds nothing.
+    """
+    cents = F.coalesce(F.rint(F.col("amount") * 100).try_cast("bigint"), F.lit(0))
     return paid.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("paid_orders"), F.sum(cents).alias("_cents")
     )

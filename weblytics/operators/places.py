@@ -10,11 +10,24 @@ from weblytics.operators.lookup import BROADCAST_BYTES, by_distinct_key, row_byt
 from weblytics.schema import PLACE_COLUMNS
 
 BLOCK_BITS = 16
-WIDEST_BLOCK = 256  # ranges in one /16 block that a probe may look through
+FINE_BITS = 8
+WIDEST_BLOCK = 256  # pieces of a /16 block above which it is cut at /24; a /24 block has no more
 
 
-def _block(number: Column) -> Column:
-    return F.shiftright(number, BLOCK_BITS)
+def _block(number: Column, bits: int = BLOCK_BITS) -> Column:
+    return F.shiftright(number, bits)
+
+
+def _cut(ranges: DataFrame, start: str, end: str, bits: int) -> DataFrame:
+    """Ranges cut at the borders of blocks of ``bits`` bits; without block if the bounds are no range."""
+    blocks = F.when(F.col(start) <= F.col(end), F.sequence(_block(F.col(start), bits), _block(F.col(end), bits)))
+    first = F.shiftleft(F.col("_cut_block"), bits)
+    return ranges.select("*", F.explode_outer(blocks).alias("_cut_block")).select(
+        F.col("_cut_block").alias("_block"),
+        F.greatest(start, first).alias("_first"),
+        F.least(end, first + ((1 << bits) - 1)).alias("_last"),
+        *PLACE_COLUMNS,
+    )
 
 
 def range_pieces(ranges: DataFrame) -> DataFrame:
@@ -22,17 +35,7 @@ def range_pieces(ranges: DataFrame) -> DataFrame:
 
     A range without start or end, or with its end before its start, gives one piece without block.
     """
-    blocks = F.when(
-        F.col("start_ip") <= F.col("end_ip"),
-        F.sequence(_block(F.col("start_ip")), _block(F.col("end_ip"))),
-    )
-    first = F.shiftleft(F.col("_block"), BLOCK_BITS)
-    return ranges.select("*", F.explode_outer(blocks).alias("_block")).select(
-        "_block",
-        F.greatest("start_ip", first).alias("_first"),
-        F.least("end_ip", first + ((1 << BLOCK_BITS) - 1)).alias("_last"),
-        *PLACE_COLUMNS,
-    )
+    return _cut(ranges, "start_ip", "end_ip", BLOCK_BITS)
 
 
 def _measure(pieces: DataFrame) -> tuple[int, int]:
@@ -87,6 +90,26 @@ def _as_of(ips: DataFrame, ip: str, pieces: DataFrame) -> DataFrame:
     )
 
 
+def _two_levels(pieces: DataFrame, widest_block: int) -> tuple[DataFrame, DataFrame]:
+    """Pieces of sparse /16 blocks, and those of dense ones cut at /24: twice as many at most.
+
+    The dense blocks are a list of 65,536 numbers at most, so it is broadcast.
+    """
+    dense = pieces.groupBy("_block").count().where(F.col("count") > widest_block).select("_block")
+    sparse = pieces.join(F.broadcast(dense), "_block", "left_anti")
+    fine = _cut(pieces.join(F.broadcast(dense), "_block", "left_semi"), "_first", "_last", FINE_BITS)
+    return sparse, fine
+
+
+def _looked_up(rows: DataFrame, pieces: DataFrame, bits: int, name: str) -> DataFrame:
+    """Left equi-join on the block of ``_number``; the place goes to the struct ``name``."""
+    found = pieces.select("_block", "_first", "_last", F.struct(*PLACE_COLUMNS).alias(name))
+    inside = (_block(F.col("_number"), bits) == F.col("_block")) & F.col("_number").between(
+        F.col("_first"), F.col("_last")
+    )
+    return rows.join(found, inside, "left").drop("_block", "_first", "_last")
+
+
 def with_places(
     rows: DataFrame,
     ranges: DataFrame,
@@ -98,18 +121,26 @@ def with_places(
     """Add country and province; null for addresses outside every range.
 
     ``ranges`` is ``(start_ip, end_ip, country, province)`` with inclusive bounds and no overlap.
-    It is measured first. A small table is broadcast and joined on the /16 block, so the hits are
-    not shuffled. A large one is searched once for each distinct address, then joined back, from
-    rows written first if ``staged``.
+    It is measured first. Blocks with more than ``widest_block`` pieces are cut at /24, and a hit is joined
+    to its /16 block and, if there are dense ones, to its /24 block, so it looks through few pieces however
+    dense the table is. A table of at most ``broadcast_bytes`` is broadcast and the hits are not shuffled.
+    A larger one is searched once for each distinct address, then joined back, from rows written
+    first if ``staged``; a stream, which cannot be read twice, takes the same joins by shuffle.
     """
     pieces = range_pieces(ranges)
     size, widest = _measure(pieces)
-    if size > broadcast_bytes or widest > widest_block:
+    dense = widest > widest_block
+    small = (2 if dense else 1) * size <= broadcast_bytes
+    if not small and not rows.isStreaming:
         return by_distinct_key(
             rows, ip, lambda ips: _as_of(ips, ip, pieces), broadcast_bytes, staged
         )
+    hint = F.broadcast if small else lambda df: df.hint("merge")
     numbered = rows.withColumn("_number", ip_number(F.col(ip)))
-    inside = (_block(F.col("_number")) == F.col("_block")) & F.col("_number").between(
-        F.col("_first"), F.col("_last")
-    )
-    return numbered.join(F.broadcast(pieces), inside, "left").select(*rows.columns, *PLACE_COLUMNS)
+    sparse, fine = _two_levels(pieces, widest_block) if dense else (pieces, None)
+    joined = _looked_up(numbered, hint(sparse), BLOCK_BITS, "_coarse")
+    place = F.col("_coarse")
+    if fine is not None:
+        joined = _looked_up(joined, hint(fine), FINE_BITS, "_fine")
+        place = F.coalesce("_coarse", "_fine")
+    return joined.select(*rows.columns, *[place[c].alias(c) for c in PLACE_COLUMNS])

@@ -59,17 +59,10 @@ def render_lines(source: DataFrame) -> DataFrame:
     )
 
 
-def _on_all_cores(rows: DataFrame) -> DataFrame:
-    """Spread a table of fewer splits than cores; a larger one is read as it is stored.
-
-    A test table is one small file, so one task would render and parse all of its lines.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return render_lines(_on_all_cores(events(spark, sf_dir)))
+    """The rendered log, dealt out first: rendering and parsing cost far more than reading the events."""
+    source = events(spark, sf_dir)
+    return render_lines(source.repartition(spark.sparkContext.defaultParallelism))
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,3 +76,21 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("country"),
         F.col("n_name").alias("province"),
     )
+
+
+def mixed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of many widths by nation number k: a /16 block below 10; 300 pieces of 128 addresses, 192 apart,
+    from 10 to 14; four blocks at 15; none to 19; 256 addresses from 20 on."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    k = F.col("n_nationkey")
+    start = k.cast("bigint") * SLASH_16 + TEN_SLASH_8 + F.col("i") * 192
+    width = F.when(k < 10, SLASH_16).when(k < 15, 128).when(k == 15, 4 * SLASH_16).otherwise(256)
+    parts = F.sequence(F.lit(0), F.when(k.between(10, 14), 299).otherwise(0))
+    rows = nation.join(region, nation.n_regionkey == region.r_regionkey).where(~k.between(16, 19))
+    return rows.withColumn("i", F.explode(parts)).select(
+        start.alias("start_ip"),
+        (start + width - 1).alias("end_ip"),
+        F.col("r_name").alias("country"),
+        F.concat("n_name", F.lit(" "), F.col("i").cast("string")).alias("province"),
+    )

@@ -6,7 +6,7 @@ from weblytics.functions.agents import BROWSERS, SYSTEMS
 from weblytics.functions.text import LINE_PATTERN, UNKNOWN
 from weblytics.operators.orders import GRAINS, PAID_EVENT, PAID_STATUS, PLACED_EVENTS
 from weblytics.plans.fixtures import AGENTS
-from weblytics.plans.queries import SLIDING_SECONDS, WINDOW_SECONDS
+from weblytics.plans.queries import BATCH_DAY, NEXT_DAY, SLIDING_SECONDS, WINDOW_SECONDS
 from weblytics.schema import (
     AGENT_COLUMNS,
     NARROW_LOG_COLUMNS,
@@ -154,6 +154,27 @@ _TO_PARSED = _with(_LINES, _PARSED)
 _TO_AGENTS = _with(_LINES, _PARSED, _AGENT_INFO)
 _TO_STORED = _with(_LINES, _PARSED, _AGENT_INFO, _PLACES, _KEYS, _STORED)
 
+_JOB = _with(
+    _LINES.replace("lines AS", "all_lines AS", 1),
+    f"""
+lines AS (
+  SELECT '{BATCH_DAY}' AS day, line FROM all_lines WHERE contains(line, 'Firefox')
+  UNION ALL SELECT '{NEXT_DAY}', line FROM all_lines WHERE contains(line, 'POST')
+)""",
+    _PARSED, _AGENT_INFO, _PLACES, _KEYS, _STORED,
+)
+
+_MIXED_PLACES = _PLACES.replace(_PLACES[: _PLACES.index("ips AS")], """
+ranges AS (
+  SELECT start_ip, start_ip + CASE WHEN k < 10 THEN 65536 WHEN k < 15 THEN 128 WHEN k = 15 THEN 262144 ELSE 256 END - 1
+         AS end_ip, country, province
+  FROM (SELECT n_nationkey AS k, (10 * 256 + n_nationkey) * 65536 + i * 192 AS start_ip, r_name AS country,
+               n_name || ' ' || i AS province
+        FROM nation JOIN region ON n_regionkey = r_regionkey, range(300) AS p(i)
+        WHERE n_nationkey NOT BETWEEN 16 AND 19 AND (i = 0 OR n_nationkey BETWEEN 10 AND 14))
+),
+""")
+
 _CELLS = """
 SELECT rowkey, 'O' AS family, qualifier, value
 FROM (UNPIVOT {rows} ON {columns} INTO NAME qualifier VALUE value)"""
@@ -204,6 +225,16 @@ SELECT {at.format(seconds="start")} AS window_start,
 FROM placed GROUP BY start"""
 
 
+_LATE = f"""
+WITH newest AS (SELECT max(ts) AS top FROM events WHERE event_type IN ({_PLACED})),
+kept AS (
+  SELECT * FROM events, newest
+  WHERE ts > top - INTERVAL 24 HOURS OR date_trunc('hour', ts) + INTERVAL 1 HOUR > top - INTERVAL 1 HOUR
+)
+SELECT {_bucket('hour')} AS bucket, count(*) AS paid_orders, CAST({_EVENT_CENTS} AS DOUBLE) / 100 AS paid_amount
+FROM kept WHERE event_type = '{PAID_EVENT}' GROUP BY 1"""
+
+
 def all_oracles() -> dict[str, str]:
     web_log = f"SELECT {_names(WEB_LOG_COLUMNS)} FROM parsed LEFT JOIN agent_info USING (agent)"
     agents = f"SELECT agent, {_names(AGENT_COLUMNS)} FROM parsed LEFT JOIN agent_info USING (agent)"
@@ -217,7 +248,8 @@ SELECT {_bucket("day", "o_orderdate")} AS bucket, count(*) AS paid_orders,
 FROM orders WHERE o_orderstatus = '{PAID_STATUS}' GROUP BY 1"""
     named = {
         "parse_logs": f"{_TO_AGENTS} {web_log}",
-        "stream_parse_logs": f"{_TO_AGENTS} {web_log}",
+        "stream_parse_logs": f"{_TO_AGENTS} SELECT {_names(WEB_LOG_COLUMNS)}, "
+        "strftime(event_ts, '%Y%m%d%H%M') AS formattime FROM parsed LEFT JOIN agent_info USING (agent)",
         "narrow_logs": f"{_TO_AGENTS} SELECT {_names(NARROW_LOG_COLUMNS)} "
         "FROM parsed LEFT JOIN agent_info USING (agent)",
         "unparsed_lines": f"{_with(_LINES)} SELECT count(*) AS unparsed FROM lines "
@@ -228,6 +260,9 @@ FROM orders WHERE o_orderstatus = '{PAID_STATUS}' GROUP BY 1"""
         "agent_enriched_distinct": f"{_TO_AGENTS} {agents}",
         "geo_enriched": f"{_with(_LINES, _PARSED, _PLACES)} {places}",
         "geo_enriched_distinct": f"{_with(_LINES, _PARSED, _PLACES)} {places}",
+        "geo_mixed_widths": f"{_with(_LINES, _PARSED, _MIXED_PLACES)} {places}",
+        "daily_job": f"{_JOB} SELECT day, country, province, browserName, count(*) AS cnt "
+        "FROM stored GROUP BY ALL",
         "row_keys": f"{_with(_LINES, _PARSED, _KEYS)} SELECT day, refer, url, ip, rowkey FROM keyed",
         "keyed_rows": f"{_TO_STORED} {stored}",
         "day_table_roundtrip": f"{_TO_STORED} {stored}",
@@ -246,6 +281,7 @@ FROM orders WHERE o_orderstatus = '{PAID_STATUS}' GROUP BY 1"""
         "CAST(count(*) AS INTEGER) AS cnt FROM stored GROUP BY ALL",
         "paid_orders_daily": orders_daily,
         "stream_upsert": _share("hour"),
+        "stream_late_orders": _LATE,
     }
     for prefix in ("paid", "stream_paid"):
         named[f"{prefix}_window_tumbling"] = _windows(WINDOW_SECONDS, WINDOW_SECONDS)

@@ -15,20 +15,21 @@ from weblytics.operators.cells import first_rows, sorted_cells, to_cells
 from weblytics.operators.parse import narrow_logs, parse_lines, unparsed_lines, with_row_key
 from weblytics.operators.places import with_places
 from weblytics.plans import etl
-from weblytics.plans.fixtures import events, ip_ranges, log_lines
-from weblytics.schema import WEB_LOG
+from weblytics.plans.fixtures import events, ip_ranges, log_lines, mixed_ranges
+from weblytics.schema import FORMATTED_LOG
 from weblytics.session import scratch_dir
 from weblytics.sinks.day_table import replace_days
 from weblytics.sinks.results import read_browser_stat, replace_browser_stat
-from weblytics.sources.day_table import reused, scan_days
+from weblytics.sources.day_table import reused, scan_day, scan_days
 from weblytics.sources.logs import read_log_day, stream_lines
 from weblytics.sources.orders import stream_events
 from weblytics.streaming.logs import start_clean
 from weblytics.streaming.orders import live_orders, start_upsert
-from weblytics.streaming.upsert import read_upserted
+from weblytics.streaming.upsert import fold_upserted, read_upserted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+NEXT_DAY = "20240201"
 BATCH_DAY = "20240131"  # folder of the rendered log: the batch day, not the day of a line
 WINDOW_SECONDS = 900
 SLIDING_SECONDS = (3600, 900)
@@ -89,6 +90,12 @@ def geo_enriched_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_places(parsed, ip_ranges(spark, sf_dir), broadcast_bytes=0)
 
 
+def geo_mixed_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges inside one block, of several blocks, and more in a block than a probe looks through."""
+    parsed = parse_lines(log_lines(spark, sf_dir)).select("ip")
+    return with_places(parsed, mixed_ranges(spark, sf_dir))
+
+
 # Keys, stored rows, cells
 
 def row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +124,22 @@ def day_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_days(spark, root)
 
 
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days loaded, the first one again with other lines; visits of each from three columns."""
+    logs, table = scratch_dir(spark, "log"), scratch_dir(spark, "days")
+    lines, ranges = log_lines(spark, sf_dir).select("line"), ip_ranges(spark, sf_dir)
+    loads = ((BATCH_DAY, "GET", "a"), (NEXT_DAY, "POST", "a"), (BATCH_DAY, "Firefox", "b"))
+    for day, mark, root in loads:
+        lines.where(F.contains("line", F.lit(mark))).write.text(f"{logs}/{root}/{day}")
+        etl.load_day(spark, f"{logs}/{root}", day, table, ranges, by_key=True)
+    days = [
+        scan_day(spark, table, day, ["country", "province", "browserName"]).select(F.lit(day).alias("day"), "*")
+        for day in (BATCH_DAY, NEXT_DAY)
+    ]
+    visits = days[0].unionByName(days[1])
+    return visits.groupBy("day", "country", "province", "browserName").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 # Visits
 
 def visits_by_place_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,11 +232,44 @@ def _stream_windows(*seconds: int) -> Query:
     return _streamed(lambda orders: O.paid_windows(orders, *seconds), "window_start", "window_end")
 
 
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paid share by hour from files that all reach every window, one a trigger, folded between two runs."""
+    folder, checkpoint = scratch_dir(spark, "event-files"), scratch_dir(spark, "checkpoint")
+    paths = scratch_dir(spark, "stream"), scratch_dir(spark, "stream")
+    for run, path in enumerate(paths):
+        for part in (2 * run, 2 * run + 1):
+            some = events(spark, sf_dir).where(F.pmod("event_id", F.lit(4)) == part)
+            some.coalesce(1).write.mode("append").parquet(folder)
+        source = live_orders(stream_events(spark, folder, files_per_trigger=1), lateness=None)
+        results = O.paid_share(source, "hour")
+        start_upsert(results, path, checkpoint).awaitTermination()
+        if path != paths[-1]:
+            fold_upserted(spark, path, paths[run + 1], results.schema, ["bucket"])
+    return read_upserted(spark, paths[-1], results.schema, ["bucket"])
+
+
+def stream_late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paid orders by hour under a watermark: events of the last day come first, then all the others.
+
+    The second file is read after the watermark has passed its hours, so what is an hour or more older than the
+    newest event is dropped.
+    """
+    folder, checkpoint, path = (scratch_dir(spark, p) for p in ("event-files", "checkpoint", "stream"))
+    newest = F.lit(events(spark, sf_dir).where(F.col("event_type").isin(*O.PLACED_EVENTS)).agg(F.max("ts")).first()[0])
+    recent = F.col("ts") > newest.cast("timestamp_ntz") - F.expr("interval 24 hours")
+    for chosen in (recent, ~recent):
+        events(spark, sf_dir).where(chosen).coalesce(1).write.mode("append").parquet(folder)
+        source = live_orders(stream_events(spark, folder, files_per_trigger=1))
+        results = O.paid_totals(source, "hour")
+        start_upsert(results, path, checkpoint).awaitTermination()
+    return read_upserted(spark, path, results.schema, ["bucket"])
+
+
 def stream_parse_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, path = _written_log(spark, sf_dir), scratch_dir(spark, "stream-log")
     lines = stream_lines(spark, f"{root}/{BATCH_DAY}")
     start_clean(lines, path, scratch_dir(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema(WEB_LOG).parquet(path)
+    return spark.read.schema(FORMATTED_LOG).parquet(path)
 
 
 def all_queries() -> dict[str, Query]:
@@ -226,12 +282,14 @@ def all_queries() -> dict[str, Query]:
         "agent_enriched_distinct": agent_enriched_distinct,
         "geo_enriched": geo_enriched,
         "geo_enriched_distinct": geo_enriched_distinct,
+        "geo_mixed_widths": geo_mixed_widths,
         "row_keys": row_keys,
         "keyed_rows": _keyed,
         "row_cells": row_cells,
         "sample_rows": sample_rows,
         "preview_rows": preview_rows,
         "day_table_roundtrip": day_table_roundtrip,
+        "daily_job": daily_job,
         "visits_by_place_top10": visits_by_place_top10,
         "visits_by_place_df": visits_by_place_df,
         "visits_by_place_sql": visits_by_place_sql,
@@ -244,7 +302,8 @@ def all_queries() -> dict[str, Query]:
         "paid_window_sliding": paid_window_sliding,
         "stream_paid_window_tumbling": _stream_windows(WINDOW_SECONDS),
         "stream_paid_window_sliding": _stream_windows(*SLIDING_SECONDS),
-        "stream_upsert": _streamed(lambda orders: O.paid_share(orders, "hour"), "bucket"),
+        "stream_upsert": stream_upsert,
+        "stream_late_orders": stream_late_orders,
         "stream_parse_logs": stream_parse_logs,
     }
     for grain in O.GRAINS:

@@ -21,6 +21,7 @@ COLUMN_FAMILY = "O"
 
 LINE = _strings("line")
 WEB_LOG = _strings(*WEB_LOG_COLUMNS)
+FORMATTED_LOG = _strings(*WEB_LOG_COLUMNS, "formattime")
 STORED_ROW = _strings("rowkey", *STORED_COLUMNS, *PLACE_COLUMNS, "day")
 BROWSER_STAT = T.StructType([
     T.StructField("browsername", T.StringType(), True),

@@ -29,10 +29,11 @@ def local_session(cpus: int | str = 8, app: str = "weblytics", memory: str = "8g
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``, which a cluster sets to shared storage. Only a
-    local master may fall back to a folder of this machine, removed at exit.
+    It lies under ``spark.checkpoint.dir``, which a cluster sets to shared storage, or else under the folder
+    given to ``setCheckpointDir``. Only a local master may fall back to a folder of this machine,
+    removed at exit.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/weblytics-{purpose}-{uuid.uuid4().hex}"
     master = spark.conf.get("spark.master", "")

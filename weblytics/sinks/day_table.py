@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weblytics.schema import STORED_ROW
@@ -20,6 +20,14 @@ def replace_days(rows: DataFrame, root: str) -> None:
 
 
 def replace_day(rows: DataFrame, root: str, day: str) -> None:
-    """Replace one day with the rows of that day, even if there are none."""
-    of_day = _stored(rows.where(F.col("day") == day)).drop("day")
-    of_day.write.mode("overwrite").parquet(f"{root}/day={day}")
+    """Replace one day with the rows of that day, even if there are none.
+
+    The new files replace the folder when all of them are written; if the write fails, the old day is as it
+    was. Only a day that turned out empty, known after that write, is emptied in a step of its own.
+    """
+    seen = Observation("day-rows")
+    of_day = rows.where(F.col("day") == day).observe(seen, F.count(F.lit(1)).alias("n"))
+    replace_days(of_day, root)
+    if not seen.get["n"]:
+        empty = rows.sparkSession.createDataFrame([], _stored(rows).drop("day").schema)
+        empty.write.mode("overwrite").parquet(f"{root}/day={day}")

@@ -14,10 +14,16 @@ TABLE = "browser_stat"
 COLUMNS = ("day", "browsername", "cnt")
 COLUMN_TYPES = "day VARCHAR(10), browsername VARCHAR(100)"
 # --- End of fixed values ---
+NO_BROWSER = "none"  # the key columns take no nulls; a hit without agent is no browser
+NO_DAY = "none"
 
 
 def _writer(counts: DataFrame, mode: str, batch_size: int):
-    narrow = counts.select(*COLUMNS).coalesce(RESULT_PARTITIONS)
+    keys = {
+        "day": F.coalesce("day", F.lit(NO_DAY)),
+        "browsername": F.coalesce("browsername", F.lit(NO_BROWSER)),
+    }
+    narrow = counts.select(*COLUMNS).withColumns(keys).repartition(RESULT_PARTITIONS)
     return (
         narrow.write.mode(mode)
         .option("createTableColumnTypes", COLUMN_TYPES)
@@ -53,7 +59,7 @@ def replace_day_counts(
     kept = existing.where((F.col("day") != day) | F.col("day").isNull())
     path = scratch_dir(spark, "browser-stat")
     fresh = counts.where(F.col("day") == day).select(*COLUMNS)
-    kept.unionByName(fresh).coalesce(RESULT_PARTITIONS).write.parquet(path)
+    kept.unionByName(fresh).repartition(RESULT_PARTITIONS).write.parquet(path)
     replacement = spark.read.schema(BROWSER_STAT).parquet(path)
     try:
         overwrite_counts(replacement, url, properties, table)

@@ -10,8 +10,8 @@ RESULT_PARTITIONS = 2
 
 
 def replace_browser_stat(counts: DataFrame, root: str) -> None:
-    """Replace the days of ``counts``. One row for each day and browser, so two tasks suffice."""
-    writer = counts.select(*BROWSER_STAT.names).coalesce(RESULT_PARTITIONS).write
+    """Replace the days of ``counts``. One row for each day and browser, so two tasks suffice to write."""
+    writer = counts.select(*BROWSER_STAT.names).repartition(RESULT_PARTITIONS).write
     writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("day").parquet(root)
 

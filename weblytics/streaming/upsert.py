@@ -20,8 +20,8 @@ def upsert_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def start_upserted(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Make the result readable before the first batch, or if there is none."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{_BATCH}=-1")
+    """Make the result readable before the first batch, or if there is none. A folder that is there stays."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{_BATCH}=-1")
 
 
 def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -29,24 +29,33 @@ def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(stored).parquet(path)
 
 
+def _newest(stored: DataFrame, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    values = [c for c in schema.names if c not in keys]
+    newest = F.max_by(F.struct(*values), F.col(_BATCH)).alias("_newest")
+    latest = stored.groupBy(*keys).agg(newest)
+    return latest.select(*keys, *[F.col(f"_newest.{v}").alias(v) for v in values])
+
+
 def read_upserted(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
 ) -> DataFrame:
     """For each key the row of the newest batch that wrote it."""
-    values = [c for c in schema.names if c not in keys]
-    newest = F.max_by(F.struct(*values), F.col(_BATCH)).alias("_newest")
-    latest = _written(spark, path, schema).groupBy(*keys).agg(newest)
-    return latest.select(*keys, *[F.col(f"_newest.{v}").alias(v) for v in values])
+    return _newest(_written(spark, path, schema), schema, keys)
 
 
 def fold_upserted(
     spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str]
 ) -> None:
-    """Write the newest rows of many batches as one batch of a new folder.
+    """Write the newest rows of many batches to a new folder, as two batches.
 
-    For use between two runs of a stream, which then goes on with ``target`` and its checkpoint:
-    its next batch is newer than the folded one. The old folder is left as it is.
+    For use between two runs of a stream, which then goes on with ``target`` and its checkpoint. The
+    last batch may not be committed there, so a restart may write it again: it is copied as it is,
+    and only the batches before it are folded, under the number below it. The old folder is left as it is.
     """
-    last = _written(spark, path, schema).agg(F.max(_BATCH)).first()[0]
-    folded = read_upserted(spark, path, schema, keys)
-    folded.write.mode("overwrite").parquet(f"{target}/{_BATCH}={last or 0}")
+    stored = _written(spark, path, schema)
+    last = stored.agg(F.max(_BATCH)).first()[0]
+    last = -1 if last is None else last
+    older = _newest(stored.where(F.col(_BATCH) < last), schema, keys)
+    older.write.mode("overwrite").parquet(f"{target}/{_BATCH}={last - 1}")
+    newest = stored.where(F.col(_BATCH) == last).select(*schema.names)
+    newest.write.mode("overwrite").parquet(f"{target}/{_BATCH}={last}")
