@@ -7,8 +7,7 @@ table passes through every stage; rows of null text have no language and leave a
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblytics.llm import exact_dedup, lang_id, packing, simhash_ball, suffix_dedup
@@ -23,14 +22,6 @@ def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_chosen_id"]), "left_semi")
 
 
-def _whole_characters(kept: str) -> Column:
-    @F.pandas_udf("string")
-    def decoded(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: bytes(v).decode("utf-8", "ignore"))
-
-    return decoded(F.col(kept))
-
-
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that language ID rejects: no letter, or a margin below ``REJECT_MARGIN``.
 
@@ -64,8 +55,8 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     points if that column exists. A null text stays null.
     """
     left = (
-        suffix_dedup.remove_repeats(docs)
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), _whole_characters("kept").alias("_kept"))
+        suffix_dedup.remove_repeats(docs, as_text=True)
+        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("kept").alias("_kept"))
         .dropDuplicates(["_id", "_hash"])
     )
     rest = docs.withColumns(

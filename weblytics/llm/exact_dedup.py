@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from weblytics.llm.common import texts, written
 
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 FAN_BITS = 4
 DEEPEST = 12  # levels of FAN_BITS bits below the 16 that the first table index uses
 NO_ID = -(1 << 63)

@@ -11,6 +11,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from weblytics.llm.common import numbered, texts, written
 
 MAX_TOKENS = 4096
 END_ID = 2
-CACHED_WORDS = 200_000  # for each Python worker; the cache is emptied when full
+CACHED_WORDS = 60_000  # in each of two halves, for each Python worker
 LONGEST_CACHED = 64
 BREAKS = re.compile(r"[\t\n\r]")
 
@@ -44,6 +45,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         encoded = self.tokenizer.encode_batch(words, add_special_tokens=False)
@@ -51,18 +53,20 @@ class WordTokenizer:
 
     def encode(self, text: str) -> bytes:
         words = BREAKS.sub(" ", text).split(" ")
-        known = self.known
-        missing = list({w for w in words if w not in known})
-        if missing:
-            if len(known) + len(missing) > CACHED_WORDS:
-                known = self.known = {"": b""}
-                missing = list({w for w in words if w})
-            fresh = self._learn(missing)
-            known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_CACHED)
-            if len(known) > CACHED_WORDS:  # one text with more words than the cache takes
-                self.known = {"": b""}
-            return b"".join([known[w] if w in known else fresh[w] for w in words])
-        return b"".join([known[w] for w in words])
+        known, before = self.known, self.before
+        missing = {w for w in words if w not in known}
+        if not missing:
+            return b"".join([known[w] for w in words])
+        found = {w: before[w] for w in missing if w in before}
+        if new := [w for w in missing if w not in before]:
+            found |= self._learn(new)
+        ids = b"".join([known[w] if w in known else found[w] for w in words])
+        if len(known) >= CACHED_WORDS:  # the words in use move over from the older half
+            self.before, known = known, {"": b""}
+            self.known = known
+        kept = ((w, i) for w, i in found.items() if len(w) <= LONGEST_CACHED)
+        known.update(islice(kept, CACHED_WORDS))
+        return ids
 
 
 @lru_cache(maxsize=2)

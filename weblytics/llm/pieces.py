@@ -24,7 +24,7 @@ SPACE = "▁"
 UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 FALLBACK_PENALTY = 10.0
 UNSET = -1e8  # scores below are placeholders; such pieces count as the least likely
-CACHED_UNITS = 150_000  # in each of two halves, for each Python worker
+CACHED_UNITS = 100_000  # in each of two halves, for each Python worker
 LONGEST_CACHED = 64
 
 

@@ -35,7 +35,7 @@ from weblytics.llm.common import texts, written
 from weblytics.llm.loser_tree import common_prefixes, front_code, front_decode, merge_runs
 
 SPAN = 50
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SLICE_BITS = 19  # bytes hashed at once; places inside a slice fill the low bits of a hash
 BUCKETS_PER_PARTITION = 4  # a task holds one bucket at a time
 HASH_BYTES = 6
@@ -189,8 +189,8 @@ def _grouped(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
 class SuffixDedup:
     """The functions that run in tasks, with their parameters."""
 
-    def __init__(self, span: int, buckets: int) -> None:
-        self.span, self.buckets = span, buckets
+    def __init__(self, span: int, buckets: int, as_text: bool = False) -> None:
+        self.span, self.buckets, self.as_text = span, buckets, as_text
         self.k = prefix_bytes(span)
         self.reach = span - self.k  # windows begin up to so many bytes before their anchor
 
@@ -373,8 +373,7 @@ class SuffixDedup:
                 out.append((block, 0, _pack(a[by_start].astype("<u4"), b[by_start].astype("<u4"))))
         return _grouped(out, ["block", "bucket", "payload"])
 
-    @staticmethod
-    def cut(blocks: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
+    def cut(self, blocks: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
         """Each document of a block without the removed bytes."""
         columns = ["doc_id", "text_hash", "n_bytes", "n_removed", "n_spans", "kept"]
         if not len(blocks):
@@ -393,32 +392,36 @@ class SuffixDedup:
             mine = gone[start:end]
             runs = int(np.count_nonzero(mine[1:] & ~mine[:-1])) + int(len(mine) > 0 and mine[0])
             whole = raw[start:end]
+            kept = whole[~mine].tobytes()
             hashed = xxhash.xxh64_intdigest(whole.tobytes(), 42)
             out.append((None if null else doc_id, hashed - (1 << 64) if hashed >> 63 else hashed,
-                        end - start, int(mine.sum()), runs, whole[~mine].tobytes()))
+                        end - start, int(mine.sum()), runs, kept.decode("utf-8", "ignore") if self.as_text else kept))
             start = end
         frame = _grouped(out, columns)
         frame["doc_id"] = frame["doc_id"].astype("Int64")
         return frame
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, **names: str) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = SPAN, as_text: bool = False, **names: str) -> DataFrame:
     """One row for each row of ``docs``: doc_id, text_hash, n_bytes, n_removed, n_spans, kept BINARY.
 
     ``kept`` is what is left of the UTF-8 bytes; a cut may fall inside a character. ``text_hash`` is Spark's
-    xxhash64 of the whole text, to join by. A null text is empty; a text shorter than ``span`` keeps all. A null id counts as the largest. Rows with one id do
+    xxhash64 of the whole text, to join by. With ``as_text``, ``kept`` is a string without the parts of
+    characters that were cut in two. A null text is empty; a text shorter than ``span`` keeps all. A null id counts as the largest. Rows with one id do
     not remove from each other. An empty table gives no rows. Blocks hold whole documents; a document
     longer than a block is one block.
     """
     spark = docs.sparkSession
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    work = SuffixDedup(span, buckets)  # Spark counts the parameters of a bound method wrongly, so lambdas
+    work = SuffixDedup(span, buckets, as_text)  # Spark counts the parameters of a bound method wrongly, so lambdas
     blocks = written(texts(docs, **names).mapInArrow(_to_blocks, BLOCK_SCHEMA), "blocks")
     hashes = blocks.mapInArrow(work.send_hashes, SENT)
     answers = hashes.groupBy("bucket").applyInPandas(lambda rows: work.answer_hashes(rows), SENT)
     by_block = blocks.groupBy("block")
     runs = by_block.cogroup(answers.groupBy("block")).applyInPandas(lambda a, b: work.send_runs(a, b), SENT)
     spans = runs.groupBy("bucket").applyInPandas(lambda rows: work.merge(rows), SENT)
+    kind = "string" if as_text else "binary"
     return by_block.cogroup(spans.groupBy("block")).applyInPandas(
-        work.cut, "doc_id bigint, text_hash bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+        lambda a, b: work.cut(a, b),
+        f"doc_id bigint, text_hash bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept {kind}",
     )
