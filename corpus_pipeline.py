@@ -7,7 +7,7 @@ table passes through every stage; rows of null text have no language and leave a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblytics.llm import exact_dedup, lang_id, packing, simhash_ball, suffix_dedup
@@ -22,6 +22,11 @@ def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_chosen_id"]), "left_semi")
 
 
+def _row_key(doc_id: str, content: str) -> Column:
+    """One key, never null, from an id that may be null and a hash; a join by it and a grouping share a shuffle."""
+    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.col(content).cast("string"))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that language ID rejects: no letter, or a margin below ``REJECT_MARGIN``.
 
@@ -34,12 +39,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the row with the largest id of each group of equal texts, once."""
-    kept = exact_dedup.exact_groups(docs).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")
+    kept = exact_dedup.exact_groups(docs).where("kept").select(_row_key("doc_id", "text_sha256").alias("_key"))
+    marked = docs.withColumn("_sha256", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256)).withColumn(
+        "_key", _row_key("doc_id", "_sha256")
     )
-    marked = docs.withColumn("_sha256", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256))
-    same = marked["doc_id"].eqNullSafe(kept["_id"]) & (marked["_sha256"] == kept["_sha"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sha256"]).select(*docs.columns)
+    return marked.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,14 +60,17 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     left = (
         suffix_dedup.remove_repeats(docs, as_text=True)
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("kept").alias("_kept"))
-        .dropDuplicates(["_id", "_hash"])
+        .select(_row_key("doc_id", "text_hash").alias("_key"), F.col("kept").alias("_kept"))
+        .dropDuplicates(["_key"])
+    )
+    rest = (
+        docs.withColumns(
+            {"_text_hash": F.xxhash64(F.coalesce("text", F.lit(""))), "_no_text": F.col("text").isNull()}
+        )
+        .withColumn("_key", _row_key("doc_id", "_text_hash"))
+        .drop("text")
     )
-    rest = docs.withColumns(
-        {"_text_hash": F.xxhash64(F.coalesce("text", F.lit(""))), "_no_text": F.col("text").isNull()}
-    ).drop("text")
-    same = rest["doc_id"].eqNullSafe(left["_id"]) & (rest["_text_hash"] == left["_hash"])
-    whole = rest.join(left, same).withColumn("text", F.when(~F.col("_no_text"), F.col("_kept")))
+    whole = rest.join(left, "_key").withColumn("text", F.when(~F.col("_no_text"), F.col("_kept")))
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         whole = whole.withColumn("n_chars", F.when(F.col("_no_text"), F.col("n_chars")).otherwise(length))
