@@ -22,8 +22,9 @@ from weblytics.llm.common import numbered, texts, written
 
 MAX_TOKENS = 4096
 END_ID = 2
-CACHED_WORDS = 60_000  # in each of two halves, for each Python worker
+CACHED_WORDS = 100_000  # in each of two halves, for each Python worker
 LONGEST_CACHED = 64
+STOPS = ".,!?;:"
 BREAKS = re.compile(r"[\t\n\r]")
 
 
@@ -48,8 +49,30 @@ class WordTokenizer:
         self.before: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        encoded = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(words, encoded, strict=True)}
+        """Ids of new words. A word of letters alone is one word to the tokenizer, and so is a sign
+        after it; such words are encoded together and told apart by its word numbers."""
+        found, plain, ended, others = {}, set(), [], []
+        for word in words:
+            stem = word[:-1] if word[-1] in STOPS else word
+            if stem.isalpha() and stem.lower().isalpha():
+                plain.add(stem)
+                if stem is not word:
+                    plain.add(word[-1])
+                    ended.append(word)
+            else:
+                others.append(word)
+        if plain:
+            together = list(plain)
+            encoded = self.tokenizer.encode(" ".join(together), add_special_tokens=False)
+            ids, owners = np.array(encoded.ids, dtype="<u4"), np.array(encoded.word_ids)
+            edges = np.searchsorted(owners, np.arange(len(together) + 1)).tolist()
+            raw = ids.tobytes()
+            found = {w: raw[4 * a : 4 * b] for w, a, b in zip(together, edges, edges[1:])}
+            found |= {w: found[w[:-1]] + found[w[-1]] for w in ended}
+        if others:
+            encoded = self.tokenizer.encode_batch(others, add_special_tokens=False)
+            found |= {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(others, encoded, strict=True)}
+        return found
 
     def encode(self, text: str) -> bytes:
         words = BREAKS.sub(" ", text).split(" ")
@@ -59,7 +82,7 @@ class WordTokenizer:
             return b"".join([known[w] for w in words])
         found = {w: before[w] for w in missing if w in before}
         if new := [w for w in missing if w not in before]:
-            found |= self._learn(new)
+            found |= self._learn(new)  # may hold parts of words as well, which are words
         ids = b"".join([known[w] if w in known else found[w] for w in words])
         if len(known) >= CACHED_WORDS:  # the words in use move over from the older half
             self.before, known = known, {"": b""}

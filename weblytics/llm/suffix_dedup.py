@@ -56,7 +56,7 @@ def prefix_bytes(span: int) -> int:
 
 def _pack(*arrays: np.ndarray) -> bytes:
     heads = np.array([a.nbytes for a in arrays], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(heads + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=9).compress(heads + b"".join(a.tobytes() for a in arrays))
 
 
 def _unpack(payload: bytes, *kinds: str) -> list[np.ndarray]:
@@ -154,7 +154,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def block() -> pa.RecordBatch:
-        packed = zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+        packed = zstandard.ZstdCompressor(level=9).compress(b"".join(parts))
         sizes = np.array([len(p) for p in parts], "<i8")
         values = [[number], [np.array(ids, "<i8").tobytes()], [np.array(nulls, bool).tobytes()], [sizes.tobytes()], [packed]]
         return pa.record_batch(
