@@ -22,7 +22,7 @@ from weblytics.llm.common import numbered, texts, written
 
 MAX_TOKENS = 4096
 END_ID = 2
-CACHED_WORDS = 100_000  # in each of two halves, for each Python worker
+CACHED_WORDS = 200_000  # in each of two halves, for each Python worker
 LONGEST_CACHED = 64
 STOPS = ".,!?;:"
 BREAKS = re.compile(r"[\t\n\r]")
