@@ -24,7 +24,9 @@ MAX_TOKENS = 4096
 END_ID = 2
 CACHED_WORDS = 200_000  # in each of two halves, for each Python worker
 LONGEST_CACHED = 64
-STOPS = ".,!?;:"
+WORD_END = "</w>"  # fixed mark of this vocabulary
+# Letters that NFC leaves alone and that lower one by one, then ASCII signs.
+LETTERS_AND_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 BREAKS = re.compile(r"[\t\n\r]")
 
 
@@ -45,32 +47,51 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
 
+    def _ids_of_each(self, words: list[str]) -> list[bytes]:
+        """Ids of texts that are one word to the tokenizer each, encoded together and told apart by their last tokens."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        edges = [0, *(np.flatnonzero(self.last[ids]) + 1).tolist()]
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
+
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words. A word of letters alone is one word to the tokenizer, and so is a sign
-        after it; such words are encoded together and told apart by its word numbers."""
-        found, plain, ended, others = {}, set(), [], []
+        """Ids of new words. Letters alone are one word to the tokenizer, which lowers them, and so are the signs
+        after them; such parts are looked up or encoded once, whatever words they occur in."""
+        found, parts, letters, others = {}, {}, set(), []
         for word in words:
-            stem = word[:-1] if word[-1] in STOPS else word
-            if stem.isalpha() and stem.lower().isalpha():
-                plain.add(stem)
-                if stem is not word:
-                    plain.add(word[-1])
-                    ended.append(word)
+            match = LETTERS_AND_SIGNS.fullmatch(word)
+            if match:
+                stem, signs = match.groups()
+                stem = stem.lower()
+                parts[word] = stem, signs
+                letters.add(stem)
+                if signs:
+                    letters.add(signs)
+            elif word.isalpha() and word.lower().isalpha():
+                letters.add(word)
             else:
                 others.append(word)
-        if plain:
-            together = list(plain)
-            encoded = self.tokenizer.encode(" ".join(together), add_special_tokens=False)
-            ids, owners = np.array(encoded.ids, dtype="<u4"), np.array(encoded.word_ids)
-            edges = np.searchsorted(owners, np.arange(len(together) + 1)).tolist()
-            raw = ids.tobytes()
-            found = {w: raw[4 * a : 4 * b] for w, a, b in zip(together, edges, edges[1:])}
-            found |= {w: found[w[:-1]] + found[w[-1]] for w in ended}
+        known, before = self.known, self.before
+        new = []
+        for part in letters:
+            ids = known.get(part) or before.get(part)
+            if ids:
+                found[part] = ids
+            else:
+                new.append(part)
+        found.update(zip(new, self._ids_of_each(new), strict=True))
+        for word, (stem, signs) in parts.items():
+            found[word] = found[stem] + found[signs] if signs else found[stem]
         if others:
-            encoded = self.tokenizer.encode_batch(others, add_special_tokens=False)
+            encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
             found |= {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(others, encoded, strict=True)}
         return found
 
