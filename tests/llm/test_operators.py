@@ -330,6 +330,23 @@ def test_packing(spark, docs, rows):
     assert lengths == sorted(lengths)
 
 
+def test_cached_words(monkeypatch):
+    """Random texts, with a cache that turns over and without, against the tokenizer itself."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    rng = np.random.default_rng(3)
+    signs = np.array(list("aAéÉßİΣσςñ'sStT$&.,_<|>-0९́×Kǅ\u3000\xa0中é\t\r\nfi\u200d" + " " * 12))
+    texts = ["".join(rng.choice(signs, rng.integers(0, 60))) for _ in range(400)]
+    texts += ["don't 'S abc<|endoftext|>x Straße$$$ STRASSE&&& ", "", " ", "Ab" * 300 + "... ab", "ΣΑΣ. Σ"]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for size in (10, packing.CACHED_WORDS):
+        monkeypatch.setattr(packing, "CACHED_WORDS", size)
+        words = packing.WordTokenizer(packing.tokenizer_path())
+        assert [words.encode(t) for t in texts + texts] == want + want
+        assert len(words.known) <= 2 * size + 100 and max(map(len, words.known)) <= packing.LONGEST_CACHED
+
+
 def test_binary_lengths():
     for n in (1, 2, 4095, 4096, 4097, 100_003):
         parts = packing.binary_lengths(n)

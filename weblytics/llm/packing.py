@@ -11,7 +11,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from weblytics.llm.common import numbered, texts, written
 
 MAX_TOKENS = 4096
 END_ID = 2
-CACHED_WORDS = 200_000  # in each of two halves, for each Python worker
+CACHED_WORDS = 500_000  # in each of two halves, for each Python worker
 LONGEST_CACHED = 64
 WORD_END = "</w>"  # fixed mark of this vocabulary
 # Letters that NFC leaves alone and that lower one by one, then ASCII signs.
@@ -62,7 +61,7 @@ class WordTokenizer:
         raw = ids.tobytes()
         return [raw[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of new words. Letters alone are one word to the tokenizer, which lowers them, and so are the signs
         after them; such parts are looked up or encoded once, whatever words they occur in."""
         found, parts, letters, others = {}, {}, set(), []
@@ -98,18 +97,19 @@ class WordTokenizer:
     def encode(self, text: str) -> bytes:
         words = BREAKS.sub(" ", text).split(" ")
         known, before = self.known, self.before
-        missing = {w for w in words if w not in known}
+        missing = set(words).difference(known)
         if not missing:
-            return b"".join([known[w] for w in words])
-        found = {w: before[w] for w in missing if w in before}
-        if new := [w for w in missing if w not in before]:
-            found |= self._learn(new)  # may hold parts of words as well, which are words
-        ids = b"".join([known[w] if w in known else found[w] for w in words])
+            return b"".join(map(known.__getitem__, words))
+        found = {w: before[w] for w in missing.intersection(before)}
+        if new := missing.difference(found):
+            found |= self._learn(new)  # holds parts of words as well, which are words
+        known.update(found)
+        ids = b"".join(map(known.__getitem__, words))
+        for word in [w for w in found if len(w) > LONGEST_CACHED]:
+            del known[word]
         if len(known) >= CACHED_WORDS:  # the words in use move over from the older half
-            self.before, known = known, {"": b""}
-            self.known = known
-        kept = ((w, i) for w, i in found.items() if len(w) <= LONGEST_CACHED)
-        known.update(islice(kept, CACHED_WORDS))
+            self.before = known if len(known) < 2 * CACHED_WORDS else {}
+            self.known = {"": b""}
         return ids
 
 
