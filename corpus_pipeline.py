@@ -58,23 +58,17 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ``text`` is what is left, without the parts of characters cut in two; ``n_chars`` is its length in code
     points if that column exists. A null text stays null.
     """
-    left = (
-        suffix_dedup.remove_repeats(docs, as_text=True)
-        .select(_row_key("doc_id", "text_hash").alias("_key"), F.col("kept").alias("_kept"))
-        .dropDuplicates(["_key"])
+    others = [c for c in docs.columns if c != "text"]
+    beside = F.struct(
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.col("text").isNull().alias("no_text")
     )
-    rest = (
-        docs.withColumns(
-            {"_text_hash": F.xxhash64(F.coalesce("text", F.lit(""))), "_no_text": F.col("text").isNull()}
-        )
-        .withColumn("_key", _row_key("doc_id", "_text_hash"))
-        .drop("text")
-    )
-    whole = rest.join(left, "_key").withColumn("text", F.when(~F.col("_no_text"), F.col("_kept")))
-    if "n_chars" in docs.columns:
-        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        whole = whole.withColumn("n_chars", F.when(F.col("_no_text"), F.col("n_chars")).otherwise(length))
-    return whole.select(*docs.columns)
+    left = suffix_dedup.remove_repeats(docs, as_text=True, carried=beside)
+    no_text = F.col("carried.no_text")
+    columns = {c: F.col(f"carried.c{i}") for i, c in enumerate(others)} | {"text": F.when(~no_text, F.col("kept"))}
+    if "n_chars" in columns:
+        length = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(no_text, columns["n_chars"]).otherwise(length)
+    return left.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

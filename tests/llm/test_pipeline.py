@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from helpers import components, hard_rows, lower, removed_bytes, simhash, table
-from weblytics.llm import lang_id, packing
+from weblytics.llm import lang_id, packing, suffix_dedup
 from weblytics.llm.queries import llm_oracles, llm_queries
 
 
@@ -64,6 +64,30 @@ def test_passage_stage(spark, docs, sf_dir):
     assert pairs(corpus_pipeline.passage_stage(spark, docs, sf_dir)) == sorted(want, key=repr)
 
 
+def test_passage_stage_keeps_other_columns(spark, sf_dir, monkeypatch):
+    """Columns of any type and clashing name stay with their rows, over many blocks and with repeated rows."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 300)
+    passage = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, None if i % 5 == 0 else f"{i} {passage} {i}") for i in [*range(12), 3, 3]]
+    docs = table(spark, rows).coalesce(2).selectExpr(
+        "doc_id", "text", "CAST(7 AS SMALLINT) AS n_chars", "IF(doc_id % 2 = 0, NULL, doc_id) AS carried", "doc_id * 2 AS kept",
+        "IF(doc_id % 3 = 0, NULL, timestamp_micros(doc_id * 1000001)) AS c0", "array(doc_id, NULL) AS beside", "DATE'2024-01-02' AS c1",
+        "named_struct('no_text', CAST(doc_id AS DECIMAL(9, 2))) AS no_text", "map('a', doc_id) AS block",
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stage = corpus_pipeline.passage_stage(spark, docs, sf_dir)
+        assert [(f.name, f.dataType) for f in stage.schema] == [(f.name, f.dataType) for f in docs.schema]
+        other = [c for c in docs.columns if c not in ("text", "n_chars")]
+        found = stage.collect()
+        assert sorted(repr([r[c] for c in other]) for r in found) == sorted(repr([r[c] for c in other]) for r in docs.collect())
+        assert all(r.n_chars == (7 if r.text is None else len(r.text)) for r in found)
+        assert [r.doc_id for r in found if r.text and "word20" in r.text] == [1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_run(spark, sf_dir):
     from tokenizers import Tokenizer
 

@@ -40,12 +40,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only ``doc_id BIGINT, text STRING``: further columns, whatever their names, cannot clash."""
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: Column | None = None) -> DataFrame:
+    """Only ``doc_id BIGINT, text STRING``, and ``carried`` if given: further columns, whatever their names, cannot clash."""
     ship(docs.sparkSession)
-    return docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    )
+    columns = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
+    return docs.select(*columns, *([] if carried is None else [carried.alias("carried")]))
 
 
 def ascii_lower(text: Column) -> Column:

@@ -25,11 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 from weblytics.llm.common import texts, written
 from weblytics.llm.loser_tree import common_prefixes, front_code, front_decode, merge_runs
@@ -43,7 +42,7 @@ MANY = 4096  # suffixes of one class above which it is sent as single windows
 NO_ID = (1 << 63) - 1
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.uint64(0x94D049BB133111EB)
-BLOCK_SCHEMA = "block bigint, ids binary, nulls binary, sizes binary, packed binary"
+BLOCK_SCHEMA = "block bigint, ids binary, nulls binary, sizes binary, packed binary, beside binary"
 SENT = "block bigint, bucket int, payload binary"
 
 
@@ -145,33 +144,66 @@ def _buckets(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(8 * HASH_BYTES - 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def _in_utc(kind: pa.DataType) -> pa.DataType:
+    """The type with its times in UTC: Spark sends instants in the session's zone and takes them back in UTC."""
+    if pa.types.is_timestamp(kind) and kind.tz:
+        return pa.timestamp(kind.unit, "UTC")
+    if pa.types.is_struct(kind):
+        return pa.struct([f.with_type(_in_utc(f.type)) for f in kind])
+    if pa.types.is_list(kind):
+        return pa.list_(kind.value_field.with_type(_in_utc(kind.value_type)))
+    if pa.types.is_map(kind):
+        return pa.map_(kind.key_field.with_type(_in_utc(kind.key_type)), kind.item_field.with_type(_in_utc(kind.item_type)))
+    return kind
+
+
+def _beside(columns: list[pa.Array]) -> bytes:
+    """The carried column of a block, compressed; no bytes if nothing is carried."""
+    if not columns:
+        return b""
+    sink = pa.BufferOutputStream()
+    table = pa.table({"carried": pa.chunked_array(columns).cast(_in_utc(columns[0].type))})
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    return zstandard.ZstdCompressor(level=9).compress(sink.getvalue().to_pybytes())
+
+
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in their order, a block each time ``BLOCK_BYTES`` are reached."""
     number = TaskContext.get().partitionId() << 33
     ids: list[int] = []
     nulls: list[bool] = []
     parts: list[bytes] = []
+    beside: list[pa.Array] = []
     held = 0
 
     def block() -> pa.RecordBatch:
         packed = zstandard.ZstdCompressor(level=9).compress(b"".join(parts))
         sizes = np.array([len(p) for p in parts], "<i8")
-        values = [[number], [np.array(ids, "<i8").tobytes()], [np.array(nulls, bool).tobytes()], [sizes.tobytes()], [packed]]
+        values = [[number], [np.array(ids, "<i8").tobytes()], [np.array(nulls, bool).tobytes()], [sizes.tobytes()], [packed],
+                  [_beside(beside)]]
         return pa.record_batch(
             [pa.array(v, pa.binary() if k else pa.int64()) for k, v in enumerate(values)],
-            names=["block", "ids", "nulls", "sizes", "packed"],
+            names=["block", "ids", "nulls", "sizes", "packed", "beside"],
         )
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
+        carried = batch.columns[2:]
+        width = 64 + sum(c.nbytes for c in carried) // max(batch.num_rows, 1)
+        first = 0
+        for i, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()))):
             ids.append(NO_ID if doc_id is None else doc_id)
             nulls.append(doc_id is None)
             parts.append(text.as_py() or b"")
-            held += len(parts[-1]) + 64
+            held += len(parts[-1]) + width
             if held >= BLOCK_BYTES:
+                beside += [c.slice(first, i + 1 - first) for c in carried]
+                first = i + 1
                 yield block()
                 number += 1
-                ids, nulls, parts, held = [], [], [], 0
+                ids, nulls, parts, beside, held = [], [], [], [], 0
+        if first < batch.num_rows:
+            beside += [c.slice(first) for c in carried]
     if ids:
         yield block()
 
@@ -373,55 +405,63 @@ class SuffixDedup:
                 out.append((block, 0, _pack(a[by_start].astype("<u4"), b[by_start].astype("<u4"))))
         return _grouped(out, ["block", "bucket", "payload"])
 
-    def cut(self, blocks: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
-        """Each document of a block without the removed bytes."""
-        columns = ["doc_id", "text_hash", "n_bytes", "n_removed", "n_spans", "kept"]
-        if not len(blocks):
-            return _grouped([], columns)
-        row = blocks.iloc[0]
+    def cut(self, blocks: pa.Table, spans: pa.Table) -> pa.Table:
+        """Each document of a block without the removed bytes, with what was carried beside it."""
+        if not blocks.num_rows:
+            return pa.table({})
+        row = blocks.slice(0, 1).to_pylist()[0]
         raw, ends, ids = _block(row)
         edge = np.zeros(len(raw) + 1, np.int32)
         for payload in spans["payload"]:
-            a, b = _unpack(payload, "<u4", "<u4")
+            a, b = _unpack(payload.as_py(), "<u4", "<u4")
             np.add.at(edge, a, 1)
             np.add.at(edge, b, -1)
         gone = np.cumsum(edge)[:-1] > 0
-        nulls = np.frombuffer(row["nulls"], bool)
-        out, start = [], 0
-        for doc_id, null, end in zip(ids.tolist(), nulls.tolist(), ends.tolist()):
+        n_removed, n_spans, kept, start = [], [], [], 0
+        for end in ends.tolist():
             mine = gone[start:end]
-            runs = int(np.count_nonzero(mine[1:] & ~mine[:-1])) + int(len(mine) > 0 and mine[0])
-            whole = raw[start:end]
-            kept = whole[~mine].tobytes()
-            hashed = xxhash.xxh64_intdigest(whole.tobytes(), 42)
-            out.append((None if null else doc_id, hashed - (1 << 64) if hashed >> 63 else hashed,
-                        end - start, int(mine.sum()), runs, kept.decode("utf-8", "ignore") if self.as_text else kept))
+            n_removed.append(int(mine.sum()))
+            n_spans.append(int(np.count_nonzero(mine[1:] & ~mine[:-1])) + int(len(mine) > 0 and mine[0]))
+            left = raw[start:end][~mine].tobytes()
+            kept.append(left.decode("utf-8", "ignore") if self.as_text else left)
             start = end
-        frame = _grouped(out, columns)
-        frame["doc_id"] = frame["doc_id"].astype("Int64")
-        return frame
-
-
-def remove_repeats(docs: DataFrame, span: int = SPAN, as_text: bool = False, **names: str) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, text_hash, n_bytes, n_removed, n_spans, kept BINARY.
-
-    ``kept`` is what is left of the UTF-8 bytes; a cut may fall inside a character. ``text_hash`` is Spark's
-    xxhash64 of the whole text, to join by. With ``as_text``, ``kept`` is a string without the parts of
-    characters that were cut in two. A null text is empty; a text shorter than ``span`` keeps all. A null id counts as the largest. Rows with one id do
-    not remove from each other. An empty table gives no rows. Blocks hold whole documents; a document
-    longer than a block is one block.
+        out = {
+            "doc_id": pa.array(ids, pa.int64(), mask=np.frombuffer(row["nulls"], bool)),
+            "n_bytes": pa.array(np.diff(ends, prepend=0), pa.int64()),
+            "n_removed": pa.array(n_removed, pa.int64()),
+            "n_spans": pa.array(n_spans, pa.int64()),
+            "kept": pa.array(kept, pa.string() if self.as_text else pa.binary()),
+        }
+        if row["beside"]:
+            stream = zstandard.ZstdDecompressor().decompress(row["beside"])
+            out["carried"] = pa.ipc.open_stream(stream).read_all()["carried"]
+        return pa.table(out)
+
+
+def remove_repeats(
+    docs: DataFrame, span: int = SPAN, as_text: bool = False, carried: Column | None = None, **names: str
+) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept BINARY, and ``carried`` if given.
+
+    ``kept`` is what is left of the UTF-8 bytes; a cut may fall inside a character. With ``as_text``, ``kept`` is
+    a string without the parts of characters that were cut in two. ``carried`` is any column of ``docs``, such
+    as a struct of its other columns: it stays in the row's block, so no join has to bring it back. A null text is empty;
+    a text shorter than ``span`` keeps all. A null id counts as the largest. Rows with one id do not remove
+    from each other. An empty table gives no rows. Blocks hold whole documents; a document longer than a
+    block is one block.
     """
     spark = docs.sparkSession
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     work = SuffixDedup(span, buckets, as_text)  # Spark counts the parameters of a bound method wrongly, so lambdas
-    blocks = written(texts(docs, **names).mapInArrow(_to_blocks, BLOCK_SCHEMA), "blocks")
+    rows = texts(docs, carried=carried, **names)
+    blocks = written(rows.mapInArrow(_to_blocks, BLOCK_SCHEMA), "blocks")
     hashes = blocks.mapInArrow(work.send_hashes, SENT)
     answers = hashes.groupBy("bucket").applyInPandas(lambda rows: work.answer_hashes(rows), SENT)
     by_block = blocks.groupBy("block")
     runs = by_block.cogroup(answers.groupBy("block")).applyInPandas(lambda a, b: work.send_runs(a, b), SENT)
     spans = runs.groupBy("bucket").applyInPandas(lambda rows: work.merge(rows), SENT)
-    kind = "string" if as_text else "binary"
-    return by_block.cogroup(spans.groupBy("block")).applyInPandas(
-        lambda a, b: work.cut(a, b),
-        f"doc_id bigint, text_hash bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept {kind}",
-    )
+    schema = StructType.fromDDL("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint")
+    schema.add("kept", StringType() if as_text else BinaryType())
+    if carried is not None:
+        schema.add("carried", rows.schema["carried"].dataType)
+    return by_block.cogroup(spans.groupBy("block")).applyInArrow(lambda a, b: work.cut(a, b), schema)
