@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, thin over their functions, and the SQL of three of them."""
+"""The registered queries of the operators, thin over their functions, and the SQL of some of them."""
 
 from __future__ import annotations
 
@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblytics.llm import (
+    conversation_repair,
     exact_dedup,
     fingerprints,
     lang_id,
     line_dedup,
+    merkle,
     packing,
     pieces,
     quality_crf,
@@ -92,10 +94,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.report(conversation_repair.damaged(rows))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check_documents(documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_sharding, op2_suffix_dedup, op3_simhash_near_dedup, op4_line_dedup, op5_quality,
-        op6_sentence_pieces, op7_exact_dedup, op8_fingerprints, op9_language, op10_packing,
+        op6_sentence_pieces, op7_exact_dedup, op8_fingerprints, op9_language, op10_packing, op11_conversation_repair, op13_merkle_manifest,
     )}
 
 
