@@ -11,6 +11,7 @@ from weblytics.llm import (
     conversation_repair,
     exact_dedup,
     fingerprints,
+    katz,
     lang_id,
     line_dedup,
     merkle,
@@ -99,6 +100,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(conversation_repair.damaged(rows))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.score_documents(documents(spark, sf_dir), katz.learned_documents(F.col("doc_id")))
+    return scored.select(
+        "doc_id", (~F.col("learns")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.check_documents(documents(spark, sf_dir))
 
@@ -106,7 +114,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_sharding, op2_suffix_dedup, op3_simhash_near_dedup, op4_line_dedup, op5_quality,
-        op6_sentence_pieces, op7_exact_dedup, op8_fingerprints, op9_language, op10_packing, op11_conversation_repair, op13_merkle_manifest,
+        op6_sentence_pieces, op7_exact_dedup, op8_fingerprints, op9_language, op10_packing, op11_conversation_repair, op12_lm_scoring,
+        op13_merkle_manifest,
     )}
 
 
