@@ -45,10 +45,16 @@ def test_sharding(docs, rows):
     assert all(sorted(s) == list(range(len(s))) for s in by_shard.values())
     sizes = [len(by_shard[k]) for k in range(8)]
     assert max(sizes) - min(sizes) <= 1
-    n = len(rows)
+
+
+def test_sharding_follows_the_permutation(spark, rows):
+    """Distinct rows have one order each, so each row's place is known."""
+    distinct = list({(i, (t or "").encode()): (i, t) for i, t in rows}.values())
+    found = sharding.shard_documents(table(spark, distinct), 8, 42).collect()
+    n = len(distinct)
     order = sorted(found, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text_crc32, r["size"]))
     places = sharding.permute(np.arange(n), n, 42)
-    assert [(p % 8, p // 8) for p in places.tolist()] == [(r.shard, r.slot) for r in order] or len(set(rows)) < n
+    assert [(p % 8, p // 8) for p in places.tolist()] == [(r.shard, r.slot) for r in order]
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 65, 1000, 4097])
@@ -251,6 +257,53 @@ def test_languages(spark):
     assert all(r.rejected for r in lang_id.predict_languages(frame, {}).collect())
 
 
+def test_languages_by_recomputed_sizes(spark):
+    """Sizes, margin and rejection from single calls of the compressor, for every row by itself."""
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = lang_id.learn(docs)
+    kinds = {lang: zstandard.ZstdCompressionDict(v.dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for lang, v in learned.items()}
+
+    def size(lang, data):
+        return len(zstandard.ZstdCompressor(
+            dict_data=kinds[lang], level=lang_id.LEVEL, write_content_size=False, write_dict_id=False).compress(data))
+
+    def ranked(sizes):
+        (best, lang), (second, _) = sorted((n, lang) for lang, n in sizes.items())[:2]
+        return lang, 1 - max(1, best) / max(1, best, second)
+
+    def expected(text):
+        if not text or not any(c.isalpha() for c in text):
+            return "und", 0.0
+        plain = lang_id.letters(text)
+        blocks = [plain[i : i + lang_id.BLOCK] for i in range(0, len(plain), lang_id.BLOCK)]
+        found = ranked({lang: sum(size(lang, b) - lang_id.FRAME for b in blocks) for lang in learned})
+        if len(plain) >= lang_id.SHORT and found[1] >= lang_id.NARROW:
+            return found
+        return ranked({lang: sum(size(lang, c + b) - size(lang, c) for c in learned[lang].contexts for b in blocks) for lang in learned})
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in lang_id.predict_languages(docs, learned).collect():
+        lang, margin = expected(texts[r.doc_id])
+        assert (r.lang_pred, r.rejected) == (lang, lang == "und" or margin < lang_id.NARROW)
+        assert r.margin == pytest.approx(margin)
+
+
+def test_language_samples_share_alike(spark):
+    """Repeated ids and texts count once, a very long text is one of many, and a language may be a few bytes."""
+    long = " ".join(f"lang{k}wort" for k in range(200_000))
+    rows = [(10, long, "aa"), *[(10, f"gleich {k}", "aa") for k in range(300)], *[(k, "immer derselbe Text", "aa") for k in range(50, 90)]]
+    rows += [(k, f"kurz und eigen nummer {chr(97 + k % 26)}{chr(97 + k // 26)}", "aa") for k in range(100, 300)]
+    rows += [(400, "é", "bb"), (401, "xyz", "bb")]
+    learned = lang_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    aa = learned["aa"].dictionary + b"".join(learned["aa"].contexts)
+    assert aa.count(b"lang") < 100 and aa.count(b"immer derselbe") < 30 and aa.count(b"kurz und eigen") > 100
+    assert len(learned["aa"].dictionary) <= lang_id.DICTIONARY_BYTES and len(learned["bb"].dictionary) >= 8
+    found = lang_id.Classifier(learned)
+    assert found.predict("é")[0] in ("aa", "bb") and found.predict("kurz und eigen nummer")[0] == "aa"
+
+
 def test_marginals_by_enumeration():
     from itertools import product
 

@@ -1,5 +1,6 @@
 """The pipeline against brute force stage by stage, its queries against SQL, and its package left out."""
 
+import hashlib
 import os
 import subprocess
 import sys
@@ -7,6 +8,7 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from helpers import components, hard_rows, lower, removed_bytes, simhash, table
@@ -31,10 +33,15 @@ def test_columns_stay(spark, docs, sf_dir):
 
 
 def test_language_stage(spark, docs, sf_dir):
-    found = lang_id.predict_languages(docs, lang_id.learn(docs), corpus_pipeline.REJECT_MARGIN)
-    stay = {r.doc_id for r in found.where("NOT rejected").collect()}
-    want = sorted(((r.doc_id, r.text) for r in docs.collect() if r.doc_id in stay), key=repr)
-    assert pairs(corpus_pipeline.language_stage(spark, docs, sf_dir)) == want
+    """Each row by itself, whatever its id: rows of one id are told apart, repeated rows stay."""
+    classifier = lang_id.Classifier(lang_id.learn(docs))
+    want = []
+    for r in docs.collect():
+        lang, margin = classifier.predict(r.text)
+        if lang != "und" and margin >= corpus_pipeline.REJECT_MARGIN:
+            want.append((r.doc_id, r.text))
+    assert pairs(corpus_pipeline.language_stage(spark, docs, sf_dir)) == sorted(want, key=repr)
+    assert 0 < len(want) < docs.count()
 
 
 def test_exact_stage(spark, docs, sf_dir):
@@ -47,11 +54,44 @@ def test_exact_stage(spark, docs, sf_dir):
     assert len(found) == len(best)
 
 
-def test_near_stage(spark, sf_dir):
-    rows = [(i, t) for i, t in {i: t for i, t in hard_rows() if i is not None}.items()]
-    label = components({i: simhash(t) for i, t in rows}, 3)
-    want = sorted(((i, t) for i, t in rows if label[i] == i), key=repr)
-    assert pairs(corpus_pipeline.near_stage(spark, table(spark, rows), sf_dir)) == want
+def near_kept(rows):
+    """One row of each group: the least id, nulls last, then the least name."""
+    distinct = sorted(set(rows), key=repr)
+    label = components({k: simhash(t) for k, (_, t) in enumerate(distinct)}, 3)
+    groups = defaultdict(list)
+    for k, (i, t) in enumerate(distinct):
+        name = hashlib.sha256(f"{'null' if i is None else i}:{t or ''}".encode()).digest()
+        groups[label[k]].append((i is None, i or 0, name, (i, t)))
+    return [min(g)[-1] for g in groups.values()]
+
+
+def test_near_stage(spark, docs, sf_dir):
+    """With null and repeated ids."""
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    found = pairs(corpus_pipeline.near_stage(spark, docs, sf_dir))
+    assert [(i, t or "") for i, t in found] == sorted(((i, t or "") for i, t in near_kept(rows)), key=repr)
+
+
+def test_near_stage_decides_on_rows(spark, sf_dir):
+    ids = [(None, "one two three four five"), (None, "ONE two three four five"), (3, "alpha beta gamma delta"),
+           (7, "alpha beta gamma delta"), (7, "something else entirely here"), (9, "SOMETHING else entirely here")]
+    ids += [(None, f"null {k} and many other words {k * k}") for k in range(50)]
+    found = pairs(corpus_pipeline.near_stage(spark, table(spark, ids), sf_dir))
+    assert found == sorted(near_kept(ids), key=repr)
+    assert sum(t is not None and t.lower() == "one two three four five" for _, t in found) == 1
+    assert (7, "alpha beta gamma delta") not in found and (7, "something else entirely here") in found
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]], ids=[n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_columns_of_clashing_names(spark, sf_dir, stage):
+    names = ["name", "row", "_key", "_sha256", "carried", "kept", "c0", "rejected", "margin", "hash", "fp", "lang_pred"]
+    said = ("Die Wörter dieses Schriftstücks mit der Nummer", "The unusual words of this one document with number")
+    rows = [(i, f"{said[i % 2]} {i * 7919} {i} {chr(97 + i) * 9} {i * i} {chr(98 + i) * 7}.") for i in range(12)]
+    docs = table(spark, rows).select("doc_id", "text", "lang", *[F.concat(F.lit(n), "doc_id").alias(n) for n in names])
+    found = stage(spark, docs, sf_dir)
+    assert found.columns == docs.columns
+    assert all(r[n] == f"{n}{r.doc_id}" for r in found.collect() for n in names)
+    assert found.count() > 0
 
 
 def test_passage_stage(spark, docs, sf_dir):
@@ -92,15 +132,13 @@ def test_run(spark, sf_dir):
     from tokenizers import Tokenizer
 
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
-    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    stay = {r.doc_id for r in lang_id.predict_languages(whole, lang_id.learn(whole)).where("NOT rejected").collect()}
+    classifier = lang_id.Classifier(lang_id.learn(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    stay = {i for i, t in rows if (found := classifier.predict(t))[0] != "und" and found[1] >= corpus_pipeline.REJECT_MARGIN}
     groups = defaultdict(list)
     for i, t in rows:
         if i in stay:
             groups[lower(t)].append((i, t))
-    rows = [max(g) for g in groups.values()]
-    label = components({i: simhash(t) for i, t in rows}, 3)
-    rows = [(i, t) for i, t in rows if label[i] == i]
+    rows = near_kept([max(g) for g in groups.values()])
     gone = removed_bytes(rows)
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
     want = {}
@@ -130,8 +168,9 @@ def test_queries_equal_sql(spark, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(llm_queries()))
 def test_queries_cover_the_table(spark, sf_dir, name):
     found = llm_queries()[name](spark, sf_dir)
-    ids = {r.doc_id for r in found.select("doc_id").collect()}
-    assert ids == {r.doc_id for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect()}
+    source, key = ("conversations", "conv_id") if "conv_id" in found.columns else ("documents", "doc_id")
+    ids = {r[key] for r in found.select(key).collect()}
+    assert ids == {r[key] for r in spark.read.parquet(f"{sf_dir}/{source}.parquet").select(key).collect()}
 
 
 def test_entry_without_the_package(tmp_path):

@@ -36,8 +36,7 @@ def smallest_labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
             "node",
             F.col("label").alias("old"),
             F.least("label", F.coalesce("heard", "label")).alias("label"),
-            F.col("label").alias("_l"),
-        ).drop("_l")
+        )
         target = labels.select(
             F.col("node").alias("to"), F.col("label").alias("far"), salts.alias("salt")
         )

@@ -8,8 +8,10 @@ Of any three bits two lie in one half of the word, so for shells of two bits tho
 a group is linked as a star around its least ball member; no pairs are formed. A group has at
 most one member for each variant of the shell, because equal fingerprints count once.
 
-Fingerprints without any neighbour are set aside before the balls are built: a pair within
-the limit has a 32-bit half within r bits, so both share a half-ball key. Keys are only counted.
+Fingerprints without any neighbour are set aside before the balls are built: a pair within the limit has a
+32-bit half within r bits, so both share a half-ball key; and it has three of four 16-bit blocks
+within 2 bits, so both share a key of those 48 bits. The first keys are few, the second stay selective when chance
+neighbours in 32 bits become common. Keys are only counted.
 """
 
 from __future__ import annotations
@@ -55,17 +57,21 @@ def simhash(text: bytes, words: int) -> int:
     return int.from_bytes(np.packbits(2 * votes > count).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 3, **names: str) -> DataFrame:
-    """``doc_id, fp BIGINT`` for each row; a null text has no words."""
+def fingerprints(docs: DataFrame, words: int = 3, name: Column | None = None, **names: str) -> DataFrame:
+    """``doc_id, fp BIGINT`` for each row, and ``name BINARY`` if given; a null text has no words."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [
                 _signed(simhash(v.as_py() or b"", words)) for v in batch.column(1).cast(pa.binary())
             ]
-            yield pa.record_batch([batch.column(0), pa.array(values, pa.int64())], names=["doc_id", "fp"])
+            yield pa.record_batch(
+                [batch.column(0), pa.array(values, pa.int64()), *batch.columns[2:]], names=["doc_id", "fp", *beside]
+            )
 
-    return texts(docs, **names).mapInArrow(mapped, "doc_id bigint, fp bigint")
+    beside = [] if name is None else ["name"]
+    schema = "doc_id bigint, fp bigint" + "".join(f", {c} binary" for c in beside)
+    return texts(docs, carried=name, **names).mapInArrow(mapped, schema)
 
 
 def _masks(bits: int, first: int = 0, last: int = 64) -> list[int]:
@@ -80,8 +86,19 @@ def _odd(value: Column) -> Column:
     return F.bit_count(value) % 2 == 1
 
 
-def _with_neighbours(known: DataFrame, max_bits: int) -> DataFrame:
-    """The fingerprints that share a half-ball key with another; all that have a link are among them."""
+def _dealt(known: DataFrame) -> DataFrame:
+    """The narrow table over all tasks: its few files would be exploded in as few."""
+    return known.repartition(int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
+
+def _sharing(known: DataFrame, keys: Column, purpose: str) -> DataFrame:
+    """The fingerprints that share one of their keys with another."""
+    dealt = _dealt(known).select("fp", F.explode(keys).alias("key"))
+    shared = written(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), purpose)
+    return written(join_counted(dealt, shared, ["key"]).select("fp").distinct(), purpose)
+
+
+def _half_keys(max_bits: int) -> Column:
     keys = []
     for half in (0, 1):
         value = F.shiftrightunsigned(F.col("fp"), 32) if half else F.col("fp").bitwiseAND(0xFFFFFFFF)
@@ -90,11 +107,24 @@ def _with_neighbours(known: DataFrame, max_bits: int) -> DataFrame:
         if max_bits >= 2:
             near = F.when(_odd(value), F.concat(near, _flips(tagged, _masks(1, 0, 32)))).otherwise(near)
         keys.append(near)
-    dealt = known.select("fp", F.explode(F.concat(*keys)).alias("key"))
-    shared = written(
-        dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "half-keys"
-    )
-    return join_counted(dealt, shared, ["key"]).select("fp").distinct()
+    return F.concat(*keys)
+
+
+def _block_keys() -> Column:
+    """Three blocks of 16 bits, as they are and with one bit flipped, the fourth block holding its number."""
+    keys = []
+    for left_out in range(4):
+        gone = _signed(0xFFFF << (16 * left_out))
+        tagged = F.col("fp").bitwiseAND(~gone).bitwiseOR(_signed((left_out + 1) << (16 * left_out)))
+        inside = [m for m in _masks(1) if not m & gone]
+        keys.append(F.concat(F.array(tagged), _flips(tagged, inside)))
+    return F.concat(*keys)
+
+
+def _with_neighbours(known: DataFrame, max_bits: int) -> DataFrame:
+    """The fingerprints that may have a link; all that have one are among them."""
+    close = _sharing(known.select("fp"), _half_keys(max_bits), "half-keys")
+    return _sharing(close, _block_keys(), "block-keys") if max_bits >= 2 else close
 
 
 def ball_links(known: DataFrame, max_bits: int = 3) -> DataFrame:
@@ -103,6 +133,7 @@ def ball_links(known: DataFrame, max_bits: int = 3) -> DataFrame:
         raise ValueError("max_bits is 0 to 3")
     radius = max_bits // 2
     ball = [0] + [m for bits in range(1, radius + 1) for m in _masks(bits)]
+    known = _dealt(known.select("fp"))
     emitted = known.select("fp", F.lit(True).alias("ball"), F.explode(_flips(F.col("fp"), ball)).alias("variant"))
     if max_bits % 2:
         shell = _masks(1) if radius == 0 else _masks(2, 0, 32) + _masks(2, 32, 64)
@@ -121,30 +152,46 @@ def ball_links(known: DataFrame, max_bits: int = 3) -> DataFrame:
     )
 
 
-def near_groups(docs: DataFrame, words: int = 3, max_bits: int = 3, **names: str) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
+def near_rows(docs: DataFrame, words: int, max_bits: int, name: Column | None = None, **names: str) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, fp, component (its least fingerprint's), least id, and ``name`` if given.
 
-    Null and empty texts have fingerprint zero and are linked like any other. A null id counts as the
-    largest: a group of null ids alone has a null component_id. Repeated rows have equal results. An
-    empty table gives no rows. Equal fingerprints are one node; they are joined back with the frequent ones
-    apart.
+    Equal fingerprints are one node; they are joined back with the frequent ones apart.
     """
-    rows = written(fingerprints(docs, words, **names), "fingerprints")
+    rows = written(fingerprints(docs, words, name, **names), "fingerprints")
     known = written(
         rows.groupBy("fp").agg(
             F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("rank"), F.count(F.lit(1)).alias("n")
         ),
         "known",
     )
-    close = written(_with_neighbours(known, max_bits), "close")
+    close = _with_neighbours(known, max_bits)
     links = ball_links(close, max_bits)
     linked = known.join(close, "fp").select(F.col("fp").alias("node"), "rank")
-    labels = smallest_labels(linked, links).select(F.col("node").alias("fp"), F.col("label.rank").alias("least"))
+    labels = smallest_labels(linked, links).select(F.col("node").alias("fp"), "label")
     found = written(
-        known.join(labels, "fp", "left").select("fp", "n", F.coalesce("least", "rank").alias("least")), "groups"
+        known.join(labels, "fp", "left").select(
+            "fp", "n", F.coalesce("label.rank", "rank").alias("least"), F.coalesce("label.node", "fp").alias("component")
+        ),
+        "groups",
     )
-    return join_counted(rows, found, ["fp"]).select(
+    return join_counted(rows, found, ["fp"]).drop("n")
+
+
+def near_groups(docs: DataFrame, words: int = 3, max_bits: int = 3, **names: str) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
+
+    Null and empty texts have fingerprint zero and are linked like any other. A null id counts as the
+    largest: a group of null ids alone has a null component_id. Repeated rows have equal results. An
+    empty table gives no rows.
+    """
+    return near_rows(docs, words, max_bits, **names).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("least") != NO_ID, F.col("least")).alias("component_id"),
     )
+
+
+def first_names(docs: DataFrame, name: Column, words: int = 3, max_bits: int = 3, **names: str) -> DataFrame:
+    """The binary ``name`` of the row that stays of each group: of the least id, null ids last, then the least name."""
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "name"))
+    return near_rows(docs, words, max_bits, name, **names).groupBy("component").agg(first.alias("first")).select("first.name")
