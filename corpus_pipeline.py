@@ -16,40 +16,42 @@ from weblytics.llm.common import ascii_lower, documents, ship, written
 REJECT_MARGIN = lang_id.NARROW
 
 
-def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``chosen.doc_id``; null ids match each other."""
-    ids = chosen.select(F.col("doc_id").alias("_chosen_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_chosen_id"]), "left_semi")
+def _row_name(row: Column, text: Column) -> Column:
+    """SHA-256 of a row's id and text: a key that is never null, and hot for no id."""
+    doc_id = F.coalesce(row["doc_id"].cast("string"), F.lit("null"))
+    return F.unhex(F.sha2(F.concat(doc_id, F.lit(":"), F.coalesce(text, F.lit(""))), 256))
 
 
-def _row_key(doc_id: str, content: str) -> Column:
-    """One key, never null, from an id that may be null and a hash; a join by it and a grouping share a shuffle."""
-    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.col(content).cast("string"))
+def _kept(docs: DataFrame, text: Column, names: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose name is in ``names.name``, each name once. Whole rows travel as one column."""
+    row = F.col("row")
+    named = docs.select(F.struct(*docs.columns).alias("row")).select("row", _row_name(row, text).alias("name"))
+    return named.join(names, "name", "left_semi").dropDuplicates(["name"]).select("row.*")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that language ID rejects: no letter, or a margin below ``REJECT_MARGIN``.
-
-    Of rows with one id and different texts all stay if one does.
-    """
+    """Drop the rows that language ID rejects: no letter, or a margin below ``REJECT_MARGIN``. Each row by itself."""
     ship(spark)
-    found = lang_id.predict_languages(docs, lang_id.learn(docs), REJECT_MARGIN)
-    return _only(docs, found.where(~F.col("rejected")))
+    others = [c for c in docs.columns if c != "text"]
+    beside = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)])
+    found = lang_id.predict_languages(docs, lang_id.learn(docs), REJECT_MARGIN, carried=beside)
+    columns = {c: F.col(f"carried.c{i}") for i, c in enumerate(others)} | {"text": F.col("text")}
+    return found.where(~F.col("rejected")).select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the largest id of each group of equal texts, once."""
-    kept = exact_dedup.exact_groups(docs).where("kept").select(_row_key("doc_id", "text_sha256").alias("_key"))
-    marked = docs.withColumn("_sha256", F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256)).withColumn(
-        "_key", _row_key("doc_id", "_sha256")
+    """Keep the row with the largest id of each group of equal texts, once; nulls are the smallest ids."""
+    stay = exact_dedup.exact_groups(docs).where("kept").select(
+        _row_name(F.struct("doc_id"), F.col("text_sha256")).alias("name")
     )
-    return marked.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    content = F.sha2(ascii_lower(F.coalesce(F.col("row")["text"], F.lit(""))), 256)
+    return _kept(docs, content, stay)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies."""
-    groups = simhash_ball.near_groups(docs, words=3, max_bits=3)
-    return _only(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """Keep one row of each group of near copies: of the smallest id, null ids last, then by a hash of the text."""
+    stay = simhash_ball.first_names(docs, _row_name(F.struct("doc_id"), F.col("text")), words=3, max_bits=3)
+    return _kept(docs, F.col("row")["text"], stay)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
