@@ -71,10 +71,15 @@ def rule_text(index: Column, texts: Sequence[str]) -> Column:
     return F.when(index == _NO_RULE, UNKNOWN).otherwise(chosen)
 
 
+def text_version(agent: Column, mark: Column) -> Column:
+    """Digits and dots that follow ``mark`` where it first occurs; null if there are none."""
+    at = F.position(mark, agent)
+    version = F.regexp_extract(F.substr(agent, at + F.length(mark)), "^[0-9.]+", 0)
+    return F.when((at > 0) & (F.length(version) > 0), version)
+
+
 def rule_version(agent: Column, index: Column, rules: Sequence[BrowserRule]) -> Column:
     """Version by the chosen rule; ``unknown`` for none, or where no version follows."""
     mark = F.get(F.array(*[F.lit(r.version_after) for r in rules]), index)
-    at = F.position(mark, agent)
-    version = F.regexp_extract(F.substr(agent, at + F.length(mark)), "^[0-9.]+", 0)
-    found = (index != _NO_RULE) & (at > 0) & (F.length(version) > 0)
-    return F.when(index.isNotNull(), F.when(found, version).otherwise(UNKNOWN))
+    version = F.when(index != _NO_RULE, text_version(agent, mark))
+    return F.when(index.isNotNull(), F.coalesce(version, F.lit(UNKNOWN)))

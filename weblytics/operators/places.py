@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,9 @@ def _block(number: Column, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(number, bits)
 
 
-def _cut(ranges: DataFrame, start: str, end: str, bits: int) -> DataFrame:
+def cut_ranges(
+    ranges: DataFrame, start: str, end: str, bits: int, kept: Sequence[str] = PLACE_COLUMNS
+) -> DataFrame:
     """Ranges cut at the borders of blocks of ``bits`` bits; without block if the bounds are no range."""
     blocks = F.when(F.col(start) <= F.col(end), F.sequence(_block(F.col(start), bits), _block(F.col(end), bits)))
     first = F.shiftleft(F.col("_cut_block"), bits)
@@ -26,7 +30,7 @@ def _cut(ranges: DataFrame, start: str, end: str, bits: int) -> DataFrame:
         F.col("_cut_block").alias("_block"),
         F.greatest(start, first).alias("_first"),
         F.least(end, first + ((1 << bits) - 1)).alias("_last"),
-        *PLACE_COLUMNS,
+        *kept,
     )
 
 
@@ -35,7 +39,7 @@ def range_pieces(ranges: DataFrame) -> DataFrame:
 
     A range without start or end, or with its end before its start, gives one piece without block.
     """
-    return _cut(ranges, "start_ip", "end_ip", BLOCK_BITS)
+    return cut_ranges(ranges, "start_ip", "end_ip", BLOCK_BITS)
 
 
 def _measure(pieces: DataFrame) -> tuple[int, int]:
@@ -60,7 +64,7 @@ def _measure(pieces: DataFrame) -> tuple[int, int]:
     if found["unusable"]:
         raise ValueError(f"{found['unusable']} IP ranges lack a bound or end before they start")
     if found["overlaps"]:
-        raise ValueError(f"{found['overlaps']} IP ranges overlap; an address must have one place")
+        raise ValueError(f"{found['overlaps']} IP ranges overlap; an address must have one place (see flat_ranges)")
     return found["bytes"] or 0, found["widest"] or 0
 
 
@@ -97,7 +101,7 @@ def _two_levels(pieces: DataFrame, widest_block: int) -> tuple[DataFrame, DataFr
     """
     dense = pieces.groupBy("_block").count().where(F.col("count") > widest_block).select("_block")
     sparse = pieces.join(F.broadcast(dense), "_block", "left_anti")
-    fine = _cut(pieces.join(F.broadcast(dense), "_block", "left_semi"), "_first", "_last", FINE_BITS)
+    fine = cut_ranges(pieces.join(F.broadcast(dense), "_block", "left_semi"), "_first", "_last", FINE_BITS)
     return sparse, fine
 
 

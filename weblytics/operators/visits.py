@@ -53,3 +53,18 @@ def browser_stat(rows: DataFrame) -> DataFrame:
     browser = F.col("browserName").alias("browsername")
     counts = rows.groupBy("day", browser).agg(F.count(F.lit(1)).alias("cnt"))
     return counts.withColumn("cnt", F.col("cnt").cast("int"))
+
+
+def visit_rankings(rows: DataFrame) -> DataFrame:
+    """Both counts, by place and by browser, from one pass: ``(ranking, country, province, browsername, cnt)``.
+
+    One aggregate over two grouping sets: each row goes to both before the shuffle, and the partial sums shrink them
+    there. ``grouping`` tells a column left out of a set from a null value. Ordered like ``ranked``, within each ranking.
+    """
+    named = rows.select(*PLACE_COLUMNS, F.col("browserName").alias("browsername"))
+    sets = [[F.col(c) for c in PLACE_COLUMNS], [F.col("browsername")]]
+    counts = named.groupingSets(sets, *named.columns).agg(
+        F.count(F.lit(1)).alias("cnt"), F.grouping("browsername").alias("_places")
+    )
+    ranking = F.when(F.col("_places") == 1, "place").otherwise("browser").alias("ranking")
+    return counts.select(ranking, *named.columns, "cnt").orderBy("ranking", F.desc("cnt"), *named.columns)

@@ -23,14 +23,15 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     return with_format_time(web_logs(lines))
 
 
-def _enriched(parsed: DataFrame, ranges: DataFrame | None, staged: bool = False) -> DataFrame:
+def enriched(parsed: DataFrame, ranges: DataFrame | None, staged: bool = False) -> DataFrame:
+    """Parsed hits with formatted time, agent columns and, if ranges are given, places."""
     hits = with_agents(with_format_time(parsed), staged=staged)
     return with_places(hits, ranges, staged=staged) if ranges is not None else hits
 
 
 def all_hits(lines: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     """Every hit, enriched, without a row key."""
-    return _enriched(parse_lines(lines), ranges)
+    return enriched(parse_lines(lines), ranges)
 
 
 def keyed_rows(
@@ -44,7 +45,7 @@ def keyed_rows(
     more, by address, and the key ranges are lost; each written file is sorted all the same.
     """
     latest = latest_hits(lines).drop("line")
-    rows = _enriched(in_key_ranges(latest) if by_key else latest, ranges, staged=True)
+    rows = enriched(in_key_ranges(latest) if by_key else latest, ranges, staged=True)
     return rows.select(*[c for c in STORED_ROW.names if c in rows.columns])
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblytics.functions.clock import ntz_day
+from weblytics.operators.agent_rules import shipped_rules
 from weblytics.sources.orders import read_events
 
 # --- Fixed values: user agents of the rendered lines, by user_id % 5 ---
@@ -19,6 +22,7 @@ AGENTS = (
 )
 # --- End of fixed values ---
 
+SHIPPED_PRIORITY = 1_000_000_000  # behind the rules of all units
 SLASH_16 = 1 << 16
 TEN_SLASH_8 = 10 << 24
 
@@ -94,3 +98,42 @@ def mixed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("country"),
         F.concat("n_name", F.lit(" "), F.col("i").cast("string")).alias("province"),
     )
+
+
+def nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each nation k: its /16 block, a /24 block inside, a range that overlaps the end of that one, and one address
+    inside; and for each region all blocks from its first to its last nation, which overlap each other."""
+    whole = ip_ranges(spark, sf_dir)
+    start = F.col("start_ip")
+    parts = ((256, 511, " inner"), (384, 767, " across"), (769, 769, " host"))
+    inside = [
+        whole.select((start + a).alias("start_ip"), (start + b).alias("end_ip"), "country", F.concat("province", F.lit(name)).alias("province"))
+        for a, b, name in parts
+    ]
+    regions = whole.groupBy("country").agg(
+        F.min("start_ip").alias("start_ip"), F.max("end_ip").alias("end_ip"), F.lit("all").alias("province")
+    )
+    return reduce(DataFrame.unionByName, [whole, *inside, regions])
+
+
+def numbered_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An agent for each event: one of ``AGENTS`` and the number of a unit."""
+    user, event = F.col("user_id"), F.col("event_id")
+    base = F.element_at(F.array(*[F.lit(a) for a in AGENTS]), (user % 5 + 1).cast("int"))
+    unit = F.concat(F.lit(" Unit/"), (event % 5000).cast("string"), F.lit("."), (user % 7).cast("string"))
+    return events(spark, sf_dir).select(F.when(event % 19 != 0, F.concat(base, unit)).otherwise(base).alias("agent"))
+
+
+def unit_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A browser and a system rule for each part, before the shipped ones; some fit several agents or none."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("k"))
+    key, number = F.col("k").cast("string"), F.col("k").cast("int")
+    browsers = part.select(
+        F.lit("browser").alias("kind"), number.alias("priority"), F.concat(F.lit("Unit/"), key, F.lit(".")).alias("token"),
+        F.concat(F.lit("Unit "), key).alias("name"), F.concat(F.lit("/"), key, F.lit(".")).alias("detail"),
+    )
+    systems = part.where("k % 3 = 0").select(
+        F.lit("system").alias("kind"), (-number).alias("priority"), F.concat(key, F.lit(".")).alias("token"),
+        F.lit("Unit").alias("name"), F.concat(F.lit("Unit system "), key).alias("detail"),
+    )
+    return browsers.unionByName(systems).unionByName(shipped_rules(spark, SHIPPED_PRIORITY))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from weblytics.functions.agents import BROWSERS, SYSTEMS
 from weblytics.functions.text import LINE_PATTERN, UNKNOWN
 from weblytics.operators.orders import GRAINS, PAID_EVENT, PAID_STATUS, PLACED_EVENTS
-from weblytics.plans.fixtures import AGENTS
-from weblytics.plans.queries import BATCH_DAY, NEXT_DAY, SLIDING_SECONDS, WINDOW_SECONDS
+from weblytics.plans.fixtures import AGENTS, SHIPPED_PRIORITY
+from weblytics.plans.queries import BATCH_DAY, KEY_LIST_IP, NEXT_DAY, SLIDING_SECONDS, WINDOW_SECONDS
+from weblytics.sinks.routes import FIELDS as ROUTE_FIELDS
 from weblytics.schema import (
     AGENT_COLUMNS,
     NARROW_LOG_COLUMNS,
@@ -158,8 +159,7 @@ _JOB = _with(
     _LINES.replace("lines AS", "all_lines AS", 1),
     f"""
 lines AS (
-  SELECT '{BATCH_DAY}' AS day, line FROM all_lines WHERE contains(line, 'Firefox')
-  UNION ALL SELECT '{NEXT_DAY}', line FROM all_lines WHERE contains(line, 'POST')
+  SELECT CASE WHEN contains(line, 'POST') THEN '{NEXT_DAY}' ELSE '{BATCH_DAY}' END AS day, line FROM all_lines
 )""",
     _PARSED, _AGENT_INFO, _PLACES, _KEYS, _STORED,
 )
@@ -175,6 +175,44 @@ ranges AS (
 ),
 """)
 
+_NESTED_PLACES = _PLACES.replace("ranges AS", "blocks AS", 1).replace(_PLACES[_PLACES.index("ip_places AS"):], """
+ranges AS (
+  SELECT * FROM blocks
+  UNION ALL SELECT start_ip + a, start_ip + b, country, province || name
+  FROM blocks, (VALUES (256, 511, ' inner'), (384, 767, ' across'), (769, 769, ' host')) AS p(a, b, name)
+  UNION ALL SELECT min(start_ip), max(end_ip), country, 'all' FROM blocks GROUP BY country
+),
+ip_places AS (
+  SELECT ip, country, province FROM ips LEFT JOIN ranges ON number BETWEEN start_ip AND end_ip
+  QUALIFY row_number() OVER (
+    PARTITION BY ip ORDER BY end_ip - start_ip, start_ip DESC, country DESC, province DESC) = 1
+)""")
+
+_UNITS = f"""
+WITH agents AS (
+  SELECT CASE WHEN event_id % 19 <> 0 THEN base || ' Unit/' || (event_id % 5000) || '.' || (user_id % 7) ELSE base END AS agent
+  FROM (SELECT *, CASE user_id % 5 {_AGENT_CASE} END AS base FROM events)
+),
+rules AS (
+  SELECT 'browser' AS kind, p_partkey AS priority, 'Unit/' || p_partkey || '.' AS token, 'Unit ' || p_partkey AS name,
+         '/' || p_partkey || '.' AS detail FROM part
+  UNION ALL SELECT 'system', -p_partkey, p_partkey || '.', 'Unit', 'Unit system ' || p_partkey FROM part WHERE p_partkey % 3 = 0
+  UNION ALL SELECT 'browser', {SHIPPED_PRIORITY} + priority, token, name, mark FROM (VALUES {_rule_rows(BROWSERS)}) AS b(priority, token, name, mark)
+  UNION ALL SELECT 'system', {SHIPPED_PRIORITY} + priority, token, family, name FROM (VALUES {_rule_rows(SYSTEMS)}) AS s(priority, token, family, name)
+),
+chosen AS (
+  SELECT agent, min_by({{'n': name, 'd': detail}}, priority) FILTER (kind = 'browser') AS b,
+         min_by({{'n': name, 'd': detail}}, priority) FILTER (kind = 'system') AS s
+  FROM (SELECT DISTINCT agent FROM agents) JOIN rules ON contains(agent, token) GROUP BY agent
+)
+SELECT agent,
+  CASE WHEN agent <> '' THEN coalesce(b.n, '{UNKNOWN}') END AS browserName,
+  CASE WHEN agent <> '' THEN coalesce(CASE WHEN contains(agent, b.d)
+    THEN nullif(regexp_extract(agent[strpos(agent, b.d) + len(b.d):], '^[0-9.]+'), '') END, '{UNKNOWN}') END AS browserVersion,
+  CASE WHEN agent <> '' THEN coalesce(s.n, '{UNKNOWN}') END AS osName,
+  CASE WHEN agent <> '' THEN coalesce(s.d, '{UNKNOWN}') END AS osVersion
+FROM agents LEFT JOIN chosen USING (agent)"""
+
 _CELLS = """
 SELECT rowkey, 'O' AS family, qualifier, value
 FROM (UNPIVOT {rows} ON {columns} INTO NAME qualifier VALUE value)"""
@@ -261,6 +299,17 @@ FROM orders WHERE o_orderstatus = '{PAID_STATUS}' GROUP BY 1"""
         "geo_enriched": f"{_with(_LINES, _PARSED, _PLACES)} {places}",
         "geo_enriched_distinct": f"{_with(_LINES, _PARSED, _PLACES)} {places}",
         "geo_mixed_widths": f"{_with(_LINES, _PARSED, _MIXED_PLACES)} {places}",
+        "geo_nested_ranges": f"{_with(_LINES, _PARSED, _NESTED_PLACES)} {places}",
+        "agent_rules_table": _UNITS,
+        "routed_lines": f"{_TO_PARSED} SELECT {_names(ROUTE_FIELDS)}, NULL AS line, 'good' AS route FROM parsed UNION ALL SELECT "
+        + ", ".join(f"NULL AS {c}" for c in ROUTE_FIELDS)
+        + f", line, 'rejected' FROM lines WHERE NOT regexp_full_match(line, {_quoted(LINE_PATTERN)})",
+        "rows_by_key": f"{_TO_STORED} {stored} WHERE rowkey IN (SELECT rowkey FROM keyed WHERE ip LIKE '{KEY_LIST_IP}%')",
+        "visit_rankings": f"""{_TO_STORED} SELECT CASE WHEN grouping(browserName) = 1 THEN 'place' ELSE 'browser' END AS ranking,
+          country, province, browserName AS browsername, count(*) AS cnt
+          FROM stored GROUP BY GROUPING SETS ((country, province), (browserName))""",
+        "stream_keyed_rows": f"{_TO_STORED} {stored}",
+        "stream_paid_window_panes": _windows(*SLIDING_SECONDS),
         "daily_job": f"{_JOB} SELECT day, country, province, browserName, count(*) AS cnt "
         "FROM stored GROUP BY ALL",
         "row_keys": f"{_with(_LINES, _PARSED, _KEYS)} SELECT day, refer, url, ip, rowkey FROM keyed",

@@ -10,26 +10,41 @@ from pyspark.sql import functions as F
 from weblytics.functions.clock import format_time
 from weblytics.operators import orders as O
 from weblytics.operators import visits as V
+from weblytics.operators.agent_rules import with_agent_rules
 from weblytics.operators.agents import with_agents
 from weblytics.operators.cells import first_rows, sorted_cells, to_cells
-from weblytics.operators.parse import narrow_logs, parse_lines, unparsed_lines, with_row_key
+from weblytics.operators.nested_places import flat_ranges
+from weblytics.operators.parse import GOOD, REJECTED, narrow_logs, parse_lines, unparsed_lines, with_row_key
 from weblytics.operators.places import with_places
 from weblytics.plans import etl
-from weblytics.plans.fixtures import events, ip_ranges, log_lines, mixed_ranges
+from weblytics.plans.fixtures import (
+    events,
+    ip_ranges,
+    log_lines,
+    mixed_ranges,
+    nested_ranges,
+    numbered_agents,
+    unit_rules,
+)
 from weblytics.schema import FORMATTED_LOG
 from weblytics.session import scratch_dir
 from weblytics.sinks.day_table import replace_days
+from weblytics.sinks.key_ranges import replace_keyed_days, rows_of_keys
 from weblytics.sinks.results import read_browser_stat, replace_browser_stat
+from weblytics.sinks.routes import read_route, write_routes
 from weblytics.sources.day_table import reused, scan_day, scan_days
-from weblytics.sources.logs import read_log_day, stream_lines
+from weblytics.sources.logs import read_log_day, stream_lines, stream_log_days
 from weblytics.sources.orders import stream_events
+from weblytics.streaming.keyed import live_keyed_rows
 from weblytics.streaming.logs import start_clean
-from weblytics.streaming.orders import live_orders, start_upsert
+from weblytics.streaming.orders import live_orders, start_append, start_upsert
 from weblytics.streaming.upsert import fold_upserted, read_upserted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 NEXT_DAY = "20240201"
+EARLY_DAYS = ("20240114", "20240115")  # the last days of a first load that reach into the second one
+KEY_LIST_IP, KEY_RANGES = "10.7.", 8
 BATCH_DAY = "20240131"  # folder of the rendered log: the batch day, not the day of a line
 WINDOW_SECONDS = 900
 SLIDING_SECONDS = (3600, 900)
@@ -96,6 +111,25 @@ def geo_mixed_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_places(parsed, mixed_ranges(spark, sf_dir))
 
 
+def geo_nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges inside ranges and across each other: the narrowest wins."""
+    parsed = parse_lines(log_lines(spark, sf_dir)).select("ip")
+    return with_places(parsed, flat_ranges(nested_ranges(spark, sf_dir)))
+
+
+def agent_rules_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agents by a table of rules that grows with the parts."""
+    return with_agent_rules(numbered_agents(spark, sf_dir), unit_rules(spark, sf_dir))
+
+
+def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good records and rejected lines, written by one job and read back."""
+    path = scratch_dir(spark, "routes")
+    write_routes(log_lines(spark, sf_dir).select("line"), path)
+    good, rejected = (read_route(spark, path, r).withColumn("route", F.lit(r)) for r in (GOOD, REJECTED))
+    return good.unionByName(rejected, allowMissingColumns=True)
+
+
 # Keys, stored rows, cells
 
 def row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,12 +159,15 @@ def day_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two days loaded, the first one again with other lines; visits of each from three columns."""
+    """All lines over two days, the first day loaded with changed lines and then again; visits of each from three columns."""
     logs, table = scratch_dir(spark, "log"), scratch_dir(spark, "days")
     lines, ranges = log_lines(spark, sf_dir).select("line"), ip_ranges(spark, sf_dir)
-    loads = ((BATCH_DAY, "GET", "a"), (NEXT_DAY, "POST", "a"), (BATCH_DAY, "Firefox", "b"))
-    for day, mark, root in loads:
-        lines.where(F.contains("line", F.lit(mark))).write.text(f"{logs}/{root}/{day}")
+    posted = F.contains("line", F.lit("POST"))
+    changed = F.regexp_replace(F.regexp_replace("line", "^10[.]", "11."), '" (200|500) ', '" 404 ')
+    first, second = lines.where(~posted), lines.where(posted)
+    loads = ((BATCH_DAY, first.select(changed.alias("line")), "a"), (NEXT_DAY, second, "a"), (BATCH_DAY, first, "b"))
+    for day, some, root in loads:
+        some.write.text(f"{logs}/{root}/{day}")
         etl.load_day(spark, f"{logs}/{root}", day, table, ranges, by_key=True)
     days = [
         scan_day(spark, table, day, ["country", "province", "browserName"]).select(F.lit(day).alias("day"), "*")
@@ -140,6 +177,16 @@ def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits.groupBy("day", "country", "province", "browserName").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def rows_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored rows of a key list, from a table loaded in two parts whose days overlap."""
+    root = scratch_dir(spark, "key-ranges")
+    rows = etl.keyed_rows(log_lines(spark, sf_dir), ip_ranges(spark, sf_dir))
+    replace_keyed_days(rows.where(F.col("day") <= EARLY_DAYS[1]), root, KEY_RANGES)
+    replace_keyed_days(rows.where(F.col("day") >= EARLY_DAYS[0]), root)
+    keyed = with_row_key(parse_lines(log_lines(spark, sf_dir)))
+    return rows_of_keys(spark, root, keyed.where(F.col("ip").startswith(KEY_LIST_IP)).select("rowkey"))
+
+
 # Visits
 
 def visits_by_place_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,6 +223,10 @@ def browser_stat_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_browser_stat(spark, result)
 
 
+def visit_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.visit_rankings(_keyed(spark, sf_dir))
+
+
 # Orders
 
 def _batch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,38 +284,59 @@ def _stream_windows(*seconds: int) -> Query:
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paid share by hour from files that all reach every window, one a trigger, folded between two runs."""
+    """Paid share by hour from four parts that all reach every window, one a run, folded half-way."""
     folder, checkpoint = scratch_dir(spark, "event-files"), scratch_dir(spark, "checkpoint")
     paths = scratch_dir(spark, "stream"), scratch_dir(spark, "stream")
-    for run, path in enumerate(paths):
-        for part in (2 * run, 2 * run + 1):
-            some = events(spark, sf_dir).where(F.pmod("event_id", F.lit(4)) == part)
-            some.coalesce(1).write.mode("append").parquet(folder)
-        source = live_orders(stream_events(spark, folder, files_per_trigger=1), lateness=None)
-        results = O.paid_share(source, "hour")
-        start_upsert(results, path, checkpoint).awaitTermination()
-        if path != paths[-1]:
-            fold_upserted(spark, path, paths[run + 1], results.schema, ["bucket"])
+    for part in range(4):
+        events(spark, sf_dir).where(F.pmod("event_id", F.lit(4)) == part).write.mode("append").parquet(folder)
+        results = O.paid_share(live_orders(stream_events(spark, folder), lateness=None), "hour")
+        start_upsert(results, paths[part // 2], checkpoint).awaitTermination()
+        if part == 1:
+            fold_upserted(spark, *paths, results.schema, ["bucket"])
     return read_upserted(spark, paths[-1], results.schema, ["bucket"])
 
 
 def stream_late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paid orders by hour under a watermark: events of the last day come first, then all the others.
 
-    The second file is read after the watermark has passed its hours, so what is an hour or more older than the
+    The second part is read after the watermark has passed its hours, so what is an hour or more older than the
     newest event is dropped.
     """
     folder, checkpoint, path = (scratch_dir(spark, p) for p in ("event-files", "checkpoint", "stream"))
     newest = F.lit(events(spark, sf_dir).where(F.col("event_type").isin(*O.PLACED_EVENTS)).agg(F.max("ts")).first()[0])
     recent = F.col("ts") > newest.cast("timestamp_ntz") - F.expr("interval 24 hours")
     for chosen in (recent, ~recent):
-        events(spark, sf_dir).where(chosen).coalesce(1).write.mode("append").parquet(folder)
-        source = live_orders(stream_events(spark, folder, files_per_trigger=1))
-        results = O.paid_totals(source, "hour")
+        events(spark, sf_dir).where(chosen).write.mode("append").parquet(folder)
+        results = O.paid_totals(live_orders(stream_events(spark, folder)), "hour")
         start_upsert(results, path, checkpoint).awaitTermination()
     return read_upserted(spark, path, results.schema, ["bucket"])
 
 
+def stream_paid_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows from panes, each written once when closed. An order long after all others closes them; its own stay open."""
+    last = scratch_dir(spark, "event-files")
+    after = F.max("ts") + F.expr("interval 3 days")
+    events(spark, sf_dir).agg(after.alias("ts"), F.lit(O.PAID_EVENT).alias("event_type")).write.parquet(last)
+    source = stream_events(spark, f"{sf_dir}/events.parquet").unionByName(stream_events(spark, last))
+    results = O.live_windows_of_panes(live_orders(source), *SLIDING_SECONDS)
+    path = scratch_dir(spark, "stream")
+    start_append(results, path, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema(results.schema).parquet(path)
+
+
+def stream_keyed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert on a stream: days up to the middle with the newest lines held back, then these, a replay and the rest."""
+    folder, checkpoint, path = (scratch_dir(spark, p) for p in ("log", "checkpoint", "stream"))
+    lines = log_lines(spark, sf_dir)
+    early, fresh = F.col("day") <= EARLY_DAYS[1], F.col("day") >= EARLY_DAYS[0]
+    held_back = fresh & (F.pmod(F.xxhash64("line"), F.lit(2)) == 0)
+    for chosen in (early & ~held_back, fresh):
+        lines.where(chosen).write.mode("append").partitionBy("day").text(folder)
+        rows = live_keyed_rows(stream_log_days(spark, folder), ip_ranges(spark, sf_dir))
+        start_upsert(rows, path, checkpoint).awaitTermination()
+    return read_upserted(spark, path, rows.schema, ["day", "rowkey"])
+
+
 def stream_parse_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, path = _written_log(spark, sf_dir), scratch_dir(spark, "stream-log")
     lines = stream_lines(spark, f"{root}/{BATCH_DAY}")
@@ -283,6 +355,13 @@ def all_queries() -> dict[str, Query]:
         "geo_enriched": geo_enriched,
         "geo_enriched_distinct": geo_enriched_distinct,
         "geo_mixed_widths": geo_mixed_widths,
+        "geo_nested_ranges": geo_nested_ranges,
+        "agent_rules_table": agent_rules_table,
+        "routed_lines": routed,
+        "rows_by_key": rows_by_key,
+        "visit_rankings": visit_rankings,
+        "stream_paid_window_panes": stream_paid_window_panes,
+        "stream_keyed_rows": stream_keyed_rows,
         "row_keys": row_keys,
         "keyed_rows": _keyed,
         "row_cells": row_cells,

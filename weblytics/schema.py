@@ -23,6 +23,11 @@ LINE = _strings("line")
 WEB_LOG = _strings(*WEB_LOG_COLUMNS)
 FORMATTED_LOG = _strings(*WEB_LOG_COLUMNS, "formattime")
 STORED_ROW = _strings("rowkey", *STORED_COLUMNS, *PLACE_COLUMNS, "day")
+AGENT_RULES = T.StructType([
+    T.StructField("kind", T.StringType(), True),
+    T.StructField("priority", T.IntegerType(), True),
+    *_strings("token", "name", "detail").fields,
+])
 BROWSER_STAT = T.StructType([
     T.StructField("browsername", T.StringType(), True),
     T.StructField("cnt", T.IntegerType(), True),

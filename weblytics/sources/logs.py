@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from weblytics.schema import LINE
 
+LINE_OF_DAY = T.StructType([*LINE.fields, T.StructField("day", T.StringType(), True)])
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LINE).text(path)
@@ -20,8 +22,12 @@ def read_log_day(spark: SparkSession, root: str, day: str) -> DataFrame:
 
 def read_log_days(spark: SparkSession, root: str) -> DataFrame:
     """``(line, day)`` of every ``<root>/day=<day>/``; a filter on ``day`` prunes folders."""
-    day = T.StructField("day", T.StringType(), True)
-    return spark.read.schema(T.StructType([*LINE.fields, day])).text(root)
+    return spark.read.schema(LINE_OF_DAY).text(root)
+
+
+def stream_log_days(spark: SparkSession, root: str) -> DataFrame:
+    """``(line, day)`` of the files that come to ``<root>/day=<day>/``, as a stream."""
+    return spark.readStream.schema(LINE_OF_DAY).text(root)
 
 
 def stream_lines(spark: SparkSession, path: str) -> DataFrame:

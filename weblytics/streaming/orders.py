@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from weblytics.operators.orders import orders_of_events
@@ -22,15 +25,23 @@ def live_orders(events: DataFrame, lateness: str | None = LATENESS) -> DataFrame
     return orders.withWatermark("ts", lateness) if lateness else orders
 
 
+@contextmanager
+def _few_state_partitions(spark: SparkSession, state_partitions: int) -> Iterator[None]:
+    """State is one row for each window, summed before the shuffle, so it needs far fewer partitions than the session's
+    batch jobs. A query takes the setting when it starts, and keeps it in its checkpoint."""
+    setting = "spark.sql.shuffle.partitions"
+    of_session = spark.conf.get(setting)
+    spark.conf.set(setting, min(int(of_session), state_partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, of_session)
+
+
 def start_upsert(
     results: DataFrame, path: str, checkpoint: str, state_partitions: int = STATE_PARTITIONS
 ) -> StreamingQuery:
-    """Process what is there and stop, sending each changed window to the result folder.
-
-    State is one row for each window, summed before the shuffle, so it needs far fewer partitions
-    than the session's batch jobs. A query takes the setting when it starts, and keeps it in its
-    checkpoint.
-    """
+    """Process what is there and stop, sending each changed window to the result folder."""
     spark = results.sparkSession
     start_upserted(spark, path, results.schema)
     writer = (
@@ -39,10 +50,19 @@ def start_upsert(
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    setting = "spark.sql.shuffle.partitions"
-    of_session = spark.conf.get(setting)
-    spark.conf.set(setting, min(int(of_session), state_partitions))
-    try:
+    with _few_state_partitions(spark, state_partitions):
         return writer.start()
-    finally:
-        spark.conf.set(setting, of_session)
+
+
+def start_append(
+    results: DataFrame, path: str, checkpoint: str, state_partitions: int = STATE_PARTITIONS
+) -> StreamingQuery:
+    """Process what is there and stop, writing each window once, when it is closed."""
+    writer = (
+        results.writeStream.outputMode("append")
+        .format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+    )
+    with _few_state_partitions(results.sparkSession, state_partitions):
+        return writer.start(path)
