@@ -31,6 +31,7 @@ DICTIONARY_BYTES = 64 << 10
 CONTEXTS, CONTEXT_BYTES = 8, 1024
 SHORT = 512  # letters and spaces; below it the contexts decide
 SAMPLE_DOCUMENTS = 400  # distinct texts of each language, every other one for the contexts
+DEALT = 64  # parts of a language's documents that are ranked apart before they are ranked together
 SLICES = 4  # of each of them, spread over the whole text
 LEAST_DICTIONARY = 8  # bytes below which zstandard takes no dictionary; shorter ones are repeated
 MAX_LANGUAGES = 1000  # more are refused: each costs a dictionary and its contexts on the driver and in each task
@@ -74,8 +75,12 @@ def learn(docs: DataFrame, lang_col: str = "lang", dictionary_bytes: int = DICTI
         hashed.groupBy("lang", "hash").agg(F.min("doc_id").alias("doc_id"))
         .groupBy("lang", "doc_id").agg(F.min("hash").alias("hash"))
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = distinct.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= SAMPLE_DOCUMENTS)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    dealt = Window.partitionBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(DEALT))).orderBy(*order)
+    few = distinct.withColumn("turn", F.row_number().over(dealt)).where(F.col("turn") <= SAMPLE_DOCUMENTS)
+    # So many of each part are enough: the ranking of a whole language sees DEALT times as many, whatever the input.
+    ranked = Window.partitionBy("lang").orderBy(*order)
+    chosen = few.withColumn("turn", F.row_number().over(ranked)).where(F.col("turn") <= SAMPLE_DOCUMENTS)
     counted = chosen.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("lang")))
     parted = counted.withColumn("for_context", (F.col("turn") % 2 == 0)).withColumn(
         "share",
