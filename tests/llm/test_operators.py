@@ -317,6 +317,63 @@ def test_marginals_by_enumeration():
     assert np.allclose(quality_crf.good_chances(emission, moves), want)
 
 
+def test_score_weighs_marginals_by_length():
+    """The score from chances found by enumeration and lengths counted here."""
+    from itertools import product
+
+    rng = np.random.default_rng(3)
+    field = quality_crf.Field(
+        rng.normal(size=quality_crf.WIDTH), np.ones(quality_crf.WIDTH), rng.normal(size=quality_crf.WIDTH) / 9, rng.normal(size=(2, 2))
+    )
+    text = "First line here.\n\nSECOND | line 12\nlast one, much longer than all of the others before it"
+    lines = text.encode().split(b"\n")
+    emission = field.emission(quality_crf.line_features(text.encode())[0])
+    weights = {}
+    for path in product((0, 1), repeat=len(lines)):
+        total = sum(e for e, s in zip(emission, path) if s) + sum(field.transition[a, b] for a, b in zip(path, path[1:]))
+        weights[path] = np.exp(total)
+    chances = [sum(w for p, w in weights.items() if p[k]) / sum(weights.values()) for k in range(len(lines))]
+    lengths = [len(x) + 1 for x in lines]
+    want = sum(c * n for c, n in zip(chances, lengths)) / sum(lengths)
+    assert field.score(text.encode()) == pytest.approx(want)
+
+
+def test_quality_training_is_bounded(spark, monkeypatch):
+    """One row and one label for each id, and lines from anywhere in a long text."""
+    docs = [(1, f"copy {k} of one id") for k in range(300)] + [(k, f"text {k}\nnext") for k in range(2, 40)] + [(None, "x"), (2, None)]
+    labels = [(k, k % 2, 0) for k in range(1, 40)] + [(1, 0, 0), (None, 1, 0), (3, None, 0)]
+    seen = []
+    monkeypatch.setattr(quality_crf, "fit", lambda documents: seen.append(documents))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    quality_crf.learn(frame, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), 12)
+    assert len(seen[0]) <= 12
+    features = np.arange(1000.0)[:, None] * np.ones((1, quality_crf.WIDTH))
+    starts = set()
+    for i in range(60):
+        chosen = quality_crf.training_lines(i, features)[:, 0]
+        assert len(chosen) == quality_crf.TRAIN_LINES and (np.diff(chosen) == 1).all()
+        starts.add(int(chosen[0]))
+    assert len(starts) > 40 and max(starts) > 600
+    assert len(quality_crf.training_lines(1, features[:200])) == 200
+
+
+def test_near_counts_against_all_rows(spark):
+    """Rows within the radius of each query row, itself included; no count for other rows."""
+    rng = np.random.default_rng(5)
+    prints = []
+    for k in range(120):
+        base = prints[k // 2][1] if k % 3 and prints else int(rng.integers(-(1 << 63), (1 << 63) - 1))
+        for bit in rng.integers(0, 63, k % 5):
+            base ^= 1 << int(bit)
+        prints.append((k if k % 10 else None, base))
+    prints += prints[:7]
+    frame = spark.createDataFrame(prints, "doc_id bigint, fp bigint")
+    found = fingerprints.with_near_counts(frame, F.col("doc_id") % 4 == 0).collect()
+    bits = lambda a, b: ((a ^ b) % (1 << 64)).bit_count()
+    want = bag((i, f, sum(bits(f, g) <= 3 for _, g in prints) if i is not None and i % 4 == 0 else None) for i, f in prints)
+    assert bag((r.doc_id, r.fp, r.near_documents) for r in found) == want
+
+
 def test_quality_learns(spark):
     import random
 

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from math import exp, log
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from weblytics.llm.common import crc_of_id, texts
 
 TRAIN_DOCUMENTS = 3000  # the bounded sample that the field is fitted on
-TRAIN_LINES = 200  # of each of those documents at most
+TRAIN_LINES = 200  # neighbouring lines of each of those documents at most, from a place anywhere in it
 STEPS = 300
 RATE = 0.05
 PENALTY = 1e-3
@@ -192,21 +193,30 @@ def held_out(doc_id) -> object:
     return F.pmod(crc_of_id(doc_id), F.lit(3)) == 1
 
 
+def training_lines(doc_id: int, features: np.ndarray) -> np.ndarray:
+    """``TRAIN_LINES`` neighbouring lines of a document, or all of a shorter one."""
+    places = max(0, len(features) - TRAIN_LINES) + 1
+    first = crc32(str(doc_id).encode()) % places
+    return features[first : first + TRAIN_LINES]
+
+
 def learn(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUMENTS, **names: str) -> Field:
     """Fit on ``train_documents`` labelled documents of the training fold, in the order of a hash of the id.
 
-    Labels are (doc_id, quality); null labels, ids and the held-out fold are left out. Features of the chosen
-    documents are computed in tasks; the first ``TRAIN_LINES`` lines of each come to the driver.
+    Labels are (doc_id, quality); null labels, ids and the held-out fold are left out. An id on several rows gives
+    one of them, the least text, and one label, the least. Features are computed in tasks, over whole texts; of a document
+    with more than ``TRAIN_LINES`` lines so many neighbouring ones come to the driver, from a place that a hash
+    of its id picks among all.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("y")).where(
         F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    chosen = known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_documents)
+    chosen = known.groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_documents)
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (i, line_features(t.as_py() or b"")[0][:TRAIN_LINES].astype("<f8").tobytes(), y)
+                (i, training_lines(i, line_features(t.as_py() or b"")[0]).astype("<f8").tobytes(), y)
                 for i, t, y in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist())
             ]
             yield pa.record_batch(
@@ -217,6 +227,8 @@ def learn(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUM
     found = (
         texts(docs, **names)
         .join(F.broadcast(chosen), "doc_id")  # train_documents rows
+        .groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+        .select("doc_id", "text", "y")
         .mapInArrow(mapped, "doc_id bigint, features binary, y int")
         .collect()
     )
