@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from weblytics.operators.places import BLOCK_BITS, FINE_BITS, cut_ranges
 from weblytics.schema import PLACE_COLUMNS
-from weblytics.session import scratch_dir
+from weblytics.session import scratch_dir, ship_package
 
 PIECES = "start_ip bigint, end_ip bigint, country string, province string"
 DENSE_PIECES = 1 << 16  # pieces of a /16 block above which it is swept by /24 blocks
@@ -92,5 +92,6 @@ def flat_ranges(ranges: DataFrame, dense_pieces: int = DENSE_PIECES) -> DataFram
     fine = cut_ranges(coarse.join(F.broadcast(dense), "_block", "left_semi"), "_first", "_last", FINE_BITS, kept)
     pieces = sparse.unionByName(fine.withColumn("_bits", F.lit(FINE_BITS)))
     spark, path = ranges.sparkSession, scratch_dir(ranges.sparkSession, "flat-ranges")
+    ship_package(spark)
     pieces.groupBy("_bits", "_block").applyInPandas(_swept, PIECES).write.parquet(path)  # it is read several times
     return spark.read.schema(PIECES).parquet(path)

@@ -6,7 +6,7 @@ from weblytics.functions.agents import BROWSERS, SYSTEMS
 from weblytics.functions.text import LINE_PATTERN, UNKNOWN
 from weblytics.operators.orders import GRAINS, PAID_EVENT, PAID_STATUS, PLACED_EVENTS
 from weblytics.plans.fixtures import AGENTS, SHIPPED_PRIORITY
-from weblytics.plans.queries import BATCH_DAY, KEY_LIST_IP, NEXT_DAY, SLIDING_SECONDS, WINDOW_SECONDS
+from weblytics.plans.queries import BATCH_DAY, KEY_LIST_IP, NEXT_DAY, OPEN_FOR, SLIDING_SECONDS, WINDOW_SECONDS
 from weblytics.sinks.routes import FIELDS as ROUTE_FIELDS
 from weblytics.schema import (
     AGENT_COLUMNS,
@@ -308,6 +308,11 @@ FROM orders WHERE o_orderstatus = '{PAID_STATUS}' GROUP BY 1"""
         "visit_rankings": f"""{_TO_STORED} SELECT CASE WHEN grouping(browserName) = 1 THEN 'place' ELSE 'browser' END AS ranking,
           country, province, browserName AS browsername, count(*) AS cnt
           FROM stored GROUP BY GROUPING SETS ((country, province), (browserName))""",
+        "read_daylog": f"{_with(_LINES)} SELECT line, day FROM lines",
+        "stream_open_windows": f"""WITH newest AS (SELECT max(ts) AS top FROM events WHERE event_type = '{PAID_EVENT}')
+          SELECT {_bucket('hour')} AS bucket, count(*) AS paid_orders, CAST({_EVENT_CENTS} AS DOUBLE) / 100 AS paid_amount
+          FROM events, newest WHERE event_type = '{PAID_EVENT}'
+            AND date_trunc('hour', ts) + INTERVAL 1 HOUR > top - INTERVAL {OPEN_FOR} GROUP BY 1""",
         "stream_keyed_rows": f"{_TO_STORED} {stored}",
         "stream_paid_window_panes": _windows(*SLIDING_SECONDS),
         "daily_job": f"{_JOB} SELECT day, country, province, browserName, count(*) AS cnt "

@@ -33,11 +33,13 @@ from weblytics.sinks.key_ranges import replace_keyed_days, rows_of_keys
 from weblytics.sinks.results import read_browser_stat, replace_browser_stat
 from weblytics.sinks.routes import read_route, write_routes
 from weblytics.sources.day_table import reused, scan_day, scan_days
+from weblytics.sources.daylog import register_daylog
 from weblytics.sources.logs import read_log_day, stream_lines, stream_log_days
 from weblytics.sources.orders import stream_events
 from weblytics.streaming.keyed import live_keyed_rows
 from weblytics.streaming.logs import start_clean
 from weblytics.streaming.orders import live_orders, start_append, start_upsert
+from weblytics.streaming.state import open_totals, state_on_disk
 from weblytics.streaming.upsert import fold_upserted, read_upserted
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +49,7 @@ EARLY_DAYS = ("20240114", "20240115")  # the last days of a first load that reac
 KEY_LIST_IP, KEY_RANGES = "10.7.", 8
 BATCH_DAY = "20240131"  # folder of the rendered log: the batch day, not the day of a line
 WINDOW_SECONDS = 900
+OPEN_FOR = "6 hours"
 SLIDING_SECONDS = (3600, 900)
 
 
@@ -71,6 +74,14 @@ def parse_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return etl.web_logs(read_log_day(spark, root, BATCH_DAY))
 
 
+def read_daylog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of all days through the data source of its own."""
+    root = scratch_dir(spark, "log")
+    log_lines(spark, sf_dir).write.partitionBy("day").text(root)
+    register_daylog(spark)
+    return spark.read.format("daylog").load(root)
+
+
 def narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrow_logs(etl.web_logs(log_lines(spark, sf_dir)))
 
@@ -337,6 +348,15 @@ def stream_keyed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_upserted(spark, path, rows.schema, ["day", "rowkey"])
 
 
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours that the state still holds after all events, read from a state store on disk."""
+    checkpoint = scratch_dir(spark, "checkpoint")
+    results = O.paid_totals(live_orders(stream_events(spark, f"{sf_dir}/events.parquet"), OPEN_FOR), "hour")
+    with state_on_disk(spark):
+        start_upsert(results, scratch_dir(spark, "stream"), checkpoint).awaitTermination()
+    return open_totals(spark, checkpoint)
+
+
 def stream_parse_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, path = _written_log(spark, sf_dir), scratch_dir(spark, "stream-log")
     lines = stream_lines(spark, f"{root}/{BATCH_DAY}")
@@ -361,6 +381,8 @@ def all_queries() -> dict[str, Query]:
         "rows_by_key": rows_by_key,
         "visit_rankings": visit_rankings,
         "stream_paid_window_panes": stream_paid_window_panes,
+        "read_daylog": read_daylog,
+        "stream_open_windows": stream_open_windows,
         "stream_keyed_rows": stream_keyed_rows,
         "row_keys": row_keys,
         "keyed_rows": _keyed,

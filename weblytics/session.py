@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -26,6 +27,21 @@ def local_session(cpus: int | str = 8, app: str = "weblytics", memory: str = "8g
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application; for the few parts that run Python in tasks."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped or context.master.startswith("local"):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    made = tempfile.mkdtemp(prefix="weblytics-package-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{made}/weblytics", "zip", os.path.dirname(package), os.path.basename(package)))
+    _shipped.add(context.applicationId)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 

@@ -17,6 +17,8 @@ from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
+from weblytics.session import ship_package
+
 FORMAT = "daylog"
 SCHEMA = "line string, day string"
 PARTITION_BYTES = 128 << 20
@@ -32,7 +34,7 @@ class ByteRange(InputPartition):
     last: int  # lines that begin before this place, and not before ``first``
 
 
-def _opened(root: str) -> tuple[fs.FileSystem, str]:
+def opened(root: str) -> tuple[fs.FileSystem, str]:
     if "://" in root or root.startswith("file:"):
         if root.startswith("file:") and not root.startswith("file://"):
             root = "file://" + root.removeprefix("file:")
@@ -100,7 +102,7 @@ class DayLogReader(DataSourceReader):
                 yield found.path, found.base_name.removeprefix("day=")
 
     def partitions(self) -> list[ByteRange]:
-        files, path = _opened(self.root)
+        files, path = opened(self.root)
         out = []
         for folder, day in self._folders(files, path):
             for found in files.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
@@ -112,7 +114,7 @@ class DayLogReader(DataSourceReader):
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
-        files, _ = _opened(self.root)
+        files, _ = opened(self.root)
         with files.open_input_file(partition.path) as stream:
             for lines in lines_between(stream, stream.size(), partition.first, partition.last):
                 texts = [x.removesuffix(b"\r").decode("utf-8", "replace") for x in lines]
@@ -135,5 +137,6 @@ class DayLogSource(DataSource):
 
 def register_daylog(spark: SparkSession) -> None:
     """Make the format known to a session. Filters reach a Python source only with this setting."""
+    ship_package(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(DayLogSource)
