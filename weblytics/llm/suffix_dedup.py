@@ -13,13 +13,14 @@ hashes of prefixes are exchanged first, to find those that occur once; their suf
    and sends it. A class with very many suffixes is sent as single windows, dealt by all their bytes, so
    that no class gathers in one task.
 4. A task merges the runs of its classes by a loser tree; ranks of the right and left contexts, from the shared
-   prefix lengths, group equal windows exactly, and each group's least document stays.
-5. The removed windows come back to the blocks.
+   prefix lengths, group equal windows exactly, and each group's least document stays. A run has one row for equal
+   suffixes of a block, with their least document; their places, and windows settled inside the block, wait at home,
+   in a group of the block's own, so a window that all documents share sends one row for each block.
+5. The removed windows of each row come back to the blocks, which know its places.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,7 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructType
 
 from weblytics.llm.common import texts, written
@@ -38,6 +40,7 @@ BLOCK_BYTES = 8 << 20
 SLICE_BITS = 19  # bytes hashed at once; places inside a slice fill the low bits of a hash
 BUCKETS_PER_PARTITION = 4  # a task holds one bucket at a time
 HASH_BYTES = 6
+HOME = -1  # bucket number of what waits for its block
 MANY = 4096  # suffixes of one class above which it is sent as single windows
 NO_ID = (1 << 63) - 1
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -269,7 +272,7 @@ class SuffixDedup:
         return _grouped(out, ["block", "bucket", "payload"])
 
     def send_runs(self, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        """Front-coded runs of a block for each bucket, with what is settled inside the block."""
+        """Front-coded runs of a block for each bucket, and what stays at home: places of their rows, settled windows."""
         columns = ["block", "bucket", "payload"]
         if not len(blocks) or not len(answers):
             return _grouped([], columns)
@@ -294,13 +297,21 @@ class SuffixDedup:
         docs = ids[np.searchsorted(ends, place, side="right")]
         padded = np.concatenate([np.zeros(self.reach, np.uint8), raw, np.zeros(self.span, np.uint8)])
         view = np.lib.stride_tricks.sliding_window_view(padded, self.reach + self.span)
-        out = []
+        out, sent, members, places, settled = [], [], [], [], []
         by_bucket = np.argsort(buckets, kind="stable")
         edges = np.searchsorted(buckets[by_bucket], np.arange(self.buckets + 1))
         for b in range(self.buckets):
             mine = by_bucket[edges[b] : edges[b + 1]]
             if len(mine):
-                out.append((row["block"], b, self._run(view, place[mine], first[mine], last[mine], docs[mine])))
+                run, count, where, gone = self._run(view, place[mine], first[mine], last[mine], docs[mine])
+                out.append((row["block"], b, run))
+                sent.append((b, len(count)))
+                members.append(count)
+                places.append(where)
+                settled.append(gone)
+        if sent:
+            home = np.array(sent, "<u4"), np.concatenate(members), np.concatenate(places), np.concatenate(settled, axis=1)
+            out.append((row["block"], HOME, _pack(*home)))
         return _grouped(out, columns)
 
     def _window_hashes(self, raw: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -316,8 +327,13 @@ class SuffixDedup:
             out[i : i + (1 << 15)] = _mix(_mix(total))
         return out >> np.uint64(64 - 8 * HASH_BYTES)
 
-    def _run(self, view: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray, docs: np.ndarray) -> bytes:
-        """Sort the suffixes of one bucket, join equal ones, settle all but the least document, front-code."""
+    def _run(
+        self, view: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray, docs: np.ndarray
+    ) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """Sort the suffixes of one bucket, join equal ones, settle all but the least document, front-code.
+
+        Beside the run: for each of its rows the number of places, the places, and the windows settled here.
+        """
         near, far = place - last, place - first  # windows begin near to far bytes before the anchor
         both = view[place]  # a copy: left context, then the suffix
         column = np.arange(self.reach + self.span)
@@ -341,18 +357,16 @@ class SuffixDedup:
         shared, tails = front_code(np.ascontiguousarray(rows[:, : self.span]))
         left = rows[:, self.span : -2]
         used = np.arange(left.shape[1]) < rows[:, -1][:, None]
-        return _pack(
-            shared, tails, rows[:, -2].copy(), rows[:, -1].copy(), left[used], least.astype("<i8"),
-            members.astype("<u4"), place[stay].astype("<u4"), gone.astype("<u4"),
-        )
+        run = _pack(shared, tails, rows[:, -2].copy(), rows[:, -1].copy(), left[used], least.astype("<i8"))
+        return run, members.astype("<u4"), place[stay].astype("<u4"), gone.astype("<u4")
 
     def merge(self, rows: pd.DataFrame) -> pd.DataFrame:
-        """Merge the runs of one bucket and say which windows go, for each block."""
-        runs, lefts, least, near, far, members, places, settled = [], [], [], [], [], [], [], []
+        """Merge the runs of one bucket and say, for each block, which windows of which rows of its run go."""
+        if rows["bucket"].iloc[0] == HOME:
+            return rows[["block", "bucket", "payload"]]
+        runs, lefts, least, near, far = [], [], [], [], []
         for payload in rows["payload"]:
-            shared, tails, n, f, left, doc, count, place, gone = _unpack(
-                payload, "u1", "u1", "u1", "u1", "u1", "<i8", "<u4", "<u4", "<u4"
-            )
+            shared, tails, n, f, left, doc = _unpack(payload, "u1", "u1", "u1", "u1", "u1", "<i8")
             runs.append((front_decode(shared, tails, self.span), shared))
             filled = np.zeros((len(shared), self.reach), np.uint8)
             filled[np.arange(self.reach) < f[:, None]] = left
@@ -360,9 +374,6 @@ class SuffixDedup:
             least.append(doc)
             near.append(n)
             far.append(f)
-            members.append(count.astype(np.int64))
-            places.append(place)
-            settled.append(gone.reshape(2, -1))
         sizes = np.array([len(r[0]) for r in runs])
         order, shared = merge_runs(runs)
         left = np.concatenate(lefts)[order]
@@ -388,23 +399,34 @@ class SuffixDedup:
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
         out, at = [], 0
-        for block, size, count, place, gone in zip(rows["block"], sizes, members, places, settled):
+        for block, bucket, size in zip(rows["block"], rows["bucket"], sizes):
             mine = goes[back[at : at + size]]
             at += size
             edges = np.diff(mine.astype(np.int8), axis=1, prepend=0, append=0)
             owner, begin = np.nonzero(edges == 1)
             end = np.nonzero(edges == -1)[1]  # windows begin + 1 - end .. - begin before the anchor
-            times = count[owner]
-            offset = np.concatenate(([0], np.cumsum(count)))[:-1][owner]
-            step = np.arange(times.sum()) - np.repeat(np.concatenate(([0], np.cumsum(times)))[:-1], times)
-            where = place[np.repeat(offset, times) + step].astype(np.int64)
-            a = np.concatenate([gone[0], where - np.repeat(end - 1, times)])
-            b = np.concatenate([gone[1], where - np.repeat(begin, times) + self.span])
-            if len(a):
-                by_start = np.argsort(a, kind="stable")
-                out.append((block, 0, _pack(a[by_start].astype("<u4"), b[by_start].astype("<u4"))))
+            if len(owner):
+                out.append((block, bucket, _pack(owner.astype("<u4"), begin.astype("u1"), end.astype("u1"))))
         return _grouped(out, ["block", "bucket", "payload"])
 
+    def _removed(self, spans: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Starts and ends of the removed windows of a block: those settled at home, then those of each bucket."""
+        came = {b.as_py(): payload.as_py() for b, payload in zip(spans["bucket"], spans["payload"])}
+        if HOME not in came:
+            return
+        sent, members, places, gone = _unpack(came.pop(HOME), "<u4", "<u4", "<u4", "<u4")
+        yield gone.reshape(2, -1)[0], gone.reshape(2, -1)[1]
+        sent = sent.reshape(-1, 2).astype(np.int64)
+        row_of = dict(zip(sent[:, 0].tolist(), np.concatenate(([0], np.cumsum(sent[:, 1])))[:-1].tolist()))
+        offsets = np.concatenate(([0], np.cumsum(members.astype(np.int64))))
+        for bucket, payload in came.items():
+            owner, begin, end = (x.astype(np.int64) for x in _unpack(payload, "<u4", "u1", "u1"))
+            owner += row_of[bucket]
+            times = members[owner].astype(np.int64)
+            step = np.arange(times.sum()) - np.repeat(np.concatenate(([0], np.cumsum(times)))[:-1], times)
+            where = places[np.repeat(offsets[owner], times) + step].astype(np.int64)
+            yield where - np.repeat(end - 1, times), where - np.repeat(begin, times) + self.span
+
     def cut(self, blocks: pa.Table, spans: pa.Table) -> pa.Table:
         """Each document of a block without the removed bytes, with what was carried beside it."""
         if not blocks.num_rows:
@@ -412,8 +434,7 @@ class SuffixDedup:
         row = blocks.slice(0, 1).to_pylist()[0]
         raw, ends, ids = _block(row)
         edge = np.zeros(len(raw) + 1, np.int32)
-        for payload in spans["payload"]:
-            a, b = _unpack(payload.as_py(), "<u4", "<u4")
+        for a, b in self._removed(spans):
             np.add.at(edge, a, 1)
             np.add.at(edge, b, -1)
         gone = np.cumsum(edge)[:-1] > 0
@@ -459,7 +480,8 @@ def remove_repeats(
     answers = hashes.groupBy("bucket").applyInPandas(lambda rows: work.answer_hashes(rows), SENT)
     by_block = blocks.groupBy("block")
     runs = by_block.cogroup(answers.groupBy("block")).applyInPandas(lambda a, b: work.send_runs(a, b), SENT)
-    spans = runs.groupBy("bucket").applyInPandas(lambda rows: work.merge(rows), SENT)
+    at_home = F.when(F.col("bucket") == HOME, F.col("block")).alias("home")  # a group for each block
+    spans = runs.groupBy("bucket", at_home).applyInPandas(lambda rows: work.merge(rows), SENT)
     schema = StructType.fromDDL("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint")
     schema.add("kept", StringType() if as_text else BinaryType())
     if carried is not None:
