@@ -84,6 +84,14 @@ def test_suffix_dedup(spark, docs, rows, monkeypatch):
     compare()
 
 
+def test_suffix_buckets_are_even():
+    """Anchors have small hashes, their buckets are alike all the same."""
+    raw = np.random.default_rng(2).integers(97, 123, 1 << 18).astype(np.uint8)
+    hashes = np.unique(suffix_dedup.anchors(raw, np.array([len(raw)]), 50)[3])
+    sizes = np.bincount(suffix_dedup._buckets(hashes, 16), minlength=16)
+    assert len(sizes) == 16 and sizes.max() < 1.3 * sizes.mean() and sizes.min() > 0.7 * sizes.mean()
+
+
 @pytest.mark.parametrize("span", [16, 33, 50, 77])
 def test_suffix_spans(spark, span):
     rows = [(k, ("abcab" * 7)[k % 5 :] + "q" * (k % 4) + "xyzzy" * 9 + str(k % 3)) for k in range(25)]

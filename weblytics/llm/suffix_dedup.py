@@ -144,7 +144,8 @@ def _hashes(raw: np.ndarray) -> np.ndarray:
 
 
 def _buckets(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hashes >> np.uint64(8 * HASH_BYTES - 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    """Bucket numbers from mixed bits: an anchor has the least hash around it, so small hashes are common."""
+    return ((hashes * GOLD >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def _in_utc(kind: pa.DataType) -> pa.DataType:
@@ -235,7 +236,10 @@ class SuffixDedup:
             for row in batch.to_pylist():
                 raw, ends, _ = _block(row)
                 hashes, counts = np.unique(anchors(raw, ends, self.span)[3], return_counts=True)
-                edges = np.searchsorted(_buckets(hashes, self.buckets), np.arange(self.buckets + 1))
+                buckets = _buckets(hashes, self.buckets)
+                by_bucket = np.argsort(buckets, kind="stable")
+                hashes, counts = hashes[by_bucket], counts[by_bucket]
+                edges = np.searchsorted(buckets[by_bucket], np.arange(self.buckets + 1))
                 out = []
                 for b in range(self.buckets):
                     h, c = hashes[edges[b] : edges[b + 1]], counts[edges[b] : edges[b + 1]]
