@@ -1,10 +1,10 @@
 """Operator 7, exact dedup: Grace hash deduplication with open-addressing tables.
 
 Each map task first collapses the copies that it sees, so one content leaves it once for each
-``BUCKET_BYTES`` of distinct text, however hot. The contents left are shuffled by hash. A task that cannot hold its share deals it to spill files
-by further hash bits, again and again, until each bucket fits the table; the table compares whole
-contents. Answers go back by the number of the collapsed class, which no more rows share than one
-map task has read.
+``BUCKET_BYTES`` of distinct text, however hot. The contents left are shuffled by hash. A task that
+cannot hold its share deals it to spill files by further hash bits, again and again, until each
+bucket fits the table; the table compares whole contents. Answers go back by the number of the
+collapsed class, which no more rows share than one map task has read.
 """
 
 from __future__ import annotations
