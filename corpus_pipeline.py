@@ -23,10 +23,13 @@ def _row_name(row: Column, text: Column) -> Column:
 
 
 def _kept(docs: DataFrame, text: Column, names: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose name is in ``names.name``, each name once. Whole rows travel as one column."""
+    """The rows of ``docs`` whose name is in ``names.name``, each name once. Whole rows travel as one column.
+
+    Repeats are dropped in each task before rows travel, so one row repeated however often leaves a task once.
+    """
     row = F.col("row")
     named = docs.select(F.struct(*docs.columns).alias("row")).select("row", _row_name(row, text).alias("name"))
-    return named.join(names, "name", "left_semi").dropDuplicates(["name"]).select("row.*")
+    return named.dropDuplicates(["name"]).join(names, "name", "left_semi").select("row.*")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
