@@ -198,6 +198,48 @@ def test_grace_recursion():
     assert answers[3][1] == 353
 
 
+def test_hot_contents_merge_in_groups(spark):
+    """Contents that most tasks hold, some without an id: the same answers by way of salted groups."""
+    rows = [(None if k % 7 == 0 else k, ("Hot " if k % 2 else "hot ") * 50) for k in range(60)]
+    rows += [(k, "warm " * 30) for k in range(60, 90)] + [(None, "no id " * 40)] * 20 + [(k, f"cold {k}") for k in range(90, 130)]
+    docs = table(spark, rows, partitions=12)
+    written = exact_dedup.texts(docs).mapInArrow(exact_dedup.collapse, exact_dedup.COLLAPSED).where("content IS NOT NULL")
+    hot = exact_dedup.hot_hashes(written, least_bytes=300).collect()
+    assert len(hot) == 3 and all(r.salts > 1 for r in hot)
+    members = defaultdict(list)
+    for i, t in rows:
+        members[lower(t)].append(i)
+    for found in (exact_dedup.exact_groups(docs, hot_bytes=300), exact_dedup.exact_groups(docs)):
+        found = found.collect()
+        assert sorted(repr(r.doc_id) for r in found) == sorted(repr(i) for i, _ in rows)
+        by_digest = defaultdict(list)
+        for r in found:
+            by_digest[r.text_sha256].append(r)
+        assert set(by_digest) == {hashlib.sha256(t).hexdigest() for t in members}
+        for text, ids in members.items():
+            group = by_digest[hashlib.sha256(text).hexdigest()]
+            keep = max((i for i in ids if i is not None), default=None)
+            assert {(r.group_size, r.keep_id) for r in group} == {(len(ids), keep)}
+            assert [r.doc_id for r in group if r.kept] == [keep]
+
+
+def test_merged_groups_beyond_the_table(monkeypatch):
+    """A table emptied between repeats gives a content again under another number; sizes add up."""
+    monkeypatch.setattr(exact_dedup, "BUCKET_BYTES", 700)
+    columns = ["class", "hash", "content", "n", "best", "best_row"]
+    records = [(k, k % 3, bytes([97 + k % 3]) * 300, k + 1, k, k) for k in range(30)]
+    batch = exact_dedup.pa.RecordBatch.from_pydict(dict(zip(columns, map(list, zip(*records)))))
+    out = [r for b in exact_dedup.merge_partition(iter([batch])) for r in b.to_pylist()]
+    into = {r["member"]: r["class"] for r in out if r["member"] is not None}
+    merged = [r for r in out if r["content"] is not None]
+    assert set(into) == set(range(30)) and set(into.values()) == {r["class"] for r in merged}
+    assert len(merged) > 3 and len({r["class"] for r in merged}) == len(merged)
+    for r in merged:
+        mine = [k for k, c in into.items() if c == r["class"]]
+        assert r["class"] in mine and {k % 3 for k in mine} == {r["content"][0] - 97} == {r["hash"]}
+        assert (r["n"], r["best"], r["best_row"]) == (sum(k + 1 for k in mine), max(mine), max(mine))
+
+
 def test_fingerprints(spark, docs, rows):
     found = fingerprints.fingerprint_documents(docs).collect()
     assert len(found) == len(rows)

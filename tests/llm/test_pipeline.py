@@ -54,6 +54,15 @@ def test_exact_stage(spark, docs, sf_dir):
     assert len(found) == len(best)
 
 
+def test_repeated_rows_leave_a_task_once(spark, sf_dir):
+    """One row on most of the table: repeats are dropped before the exchange, and one of them stays."""
+    docs = table(spark, [(5, "the same words in every row")] * 400 + [(k, f"other words {k}") for k in range(20)], partitions=4)
+    found = corpus_pipeline.exact_stage(spark, docs, sf_dir)
+    assert pairs(found) == sorted([(5, "the same words in every row"), *[(k, f"other words {k}") for k in range(20)]], key=repr)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("Aggregate [name")
+
+
 def near_kept(rows):
     """One row of each group: the least id, nulls last, then the least name."""
     distinct = sorted(set(rows), key=repr)

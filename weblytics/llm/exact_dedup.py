@@ -1,10 +1,12 @@
 """Operator 7, exact dedup: Grace hash deduplication with open-addressing tables.
 
 Each map task first collapses the copies that it sees, so one content leaves it once for each
-``BUCKET_BYTES`` of distinct text, however hot. The contents left are shuffled by hash. A task that
-cannot hold its share deals it to spill files by further hash bits, again and again, until each
-bucket fits the table; the table compares whole contents. Answers go back by the number of the
-collapsed class, which no more rows share than one map task has read.
+``BUCKET_BYTES`` of distinct text, however hot. The contents left are shuffled by hash. A hash whose
+copies together would burden one task is hot: its copies are merged in salted groups first, so what
+meets by hash is one content for each group. A task that cannot hold its share deals it to spill files
+by further hash bits, again and again, until each bucket fits the table; the table compares whole
+contents. Answers go back by the number of the collapsed class, which no more rows share than one map
+task has read.
 """
 
 from __future__ import annotations
@@ -23,12 +25,15 @@ from pyspark.sql import functions as F
 
 from weblytics.llm.common import texts, written
 
+RECORD_BYTES = 200  # what an entry costs beside its content
+
 BUCKET_BYTES = 16 << 20
 FAN_BITS = 4
 DEEPEST = 12  # levels of FAN_BITS bits below the 16 that the first table index uses
 NO_ID = -(1 << 63)
 
 COLLAPSED = "row bigint, doc_id bigint, class bigint, hash bigint, content binary, n bigint, best bigint, best_row bigint"
+MERGED = "member bigint, class bigint, hash bigint, content binary, n bigint, best bigint, best_row bigint"
 ANSWER = "class bigint, keep_id bigint, keep_row bigint, group_size bigint, text_sha256 string"
 
 
@@ -52,7 +57,7 @@ class ContentTable:
         slots[at] = number = len(self.contents)
         self.hashes.append(hashed)
         self.contents.append(content)
-        self.bytes += len(content) + 200
+        self.bytes += len(content) + RECORD_BYTES
         if 2 * len(self.contents) > len(slots):
             self._grow()
         return number
@@ -163,7 +168,7 @@ def grace(records: Iterator[Record], bucket_bytes: int = BUCKET_BYTES, level: in
     held, size = [], 0
     for record in records:
         held.append(record)
-        size += len(record[-1]) + 200
+        size += len(record[-1]) + RECORD_BYTES
         if size > bucket_bytes:
             break
     else:
@@ -184,19 +189,61 @@ def grace(records: Iterator[Record], bucket_bytes: int = BUCKET_BYTES, level: in
             spill.close()
 
 
-def resolve_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def records() -> Iterator[Record]:
-        for batch in batches:
-            number, hashed, n, best, row, content = (batch.column(c) for c in
-                                                     ("class", "hash", "n", "best", "best_row", "content"))
-            for i in range(batch.num_rows):
-                yield (number[i].as_py(), hashed[i].as_py() % (1 << 64), n[i].as_py(), best[i].as_py(),
-                       row[i].as_py(), content[i].as_py())
+def merge_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes of some salted groups: each with the class it joins, and each class joined once with its content.
+
+    A class that others join keeps its own number. Beyond ``BUCKET_BYTES`` of distinct contents the table is
+    emptied, so a content may come out again under another number; the groups meet by hash afterwards.
+    """
+    schema = pa.schema([(c, pa.binary() if c == "content" else pa.int64()) for c in
+                        ("member", "class", "hash", "content", "n", "best", "best_row")])
+    table, numbers, sizes, best = ContentTable(), [], [], []
 
+    def joined() -> Iterator[pa.RecordBatch]:
+        step = 512
+        for i in range(0, len(sizes), step):
+            part = slice(i, i + step)
+            yield pa.record_batch(
+                [pa.nulls(len(sizes[part]), pa.int64()), pa.array(numbers[part], pa.int64()),
+                 pa.array([_signed(h) for h in table.hashes[part]]), pa.array(table.contents[part], pa.binary()),
+                 pa.array(sizes[part]), pa.array([b[0] for b in best[part]]), pa.array([b[1] for b in best[part]])],
+                schema=schema,
+            )
+
+    for batch in batches:
+        members, into = [], []
+        for number, hashed, n, doc, row, content in _records(batch):
+            at = table.entry(hashed, content)
+            if at == len(sizes):
+                numbers.append(number)
+                sizes.append(n)
+                best.append((doc, row))
+            else:
+                sizes[at] += n
+                best[at] = max(best[at], (doc, row))
+            members.append(number)
+            into.append(numbers[at])
+            if table.bytes > BUCKET_BYTES:
+                yield from joined()
+                table, numbers, sizes, best = ContentTable(), [], [], []
+        k = len(members)
+        yield pa.record_batch([pa.array(members, pa.int64()), pa.array(into, pa.int64()), pa.nulls(k, pa.int64()),
+                               pa.nulls(k, pa.binary()), *[pa.nulls(k, pa.int64())] * 3], schema=schema)
+    yield from joined()
+
+
+def _records(batch: pa.RecordBatch) -> Iterator[Record]:
+    number, hashed, n, best, row, content = (batch.column(c) for c in ("class", "hash", "n", "best", "best_row", "content"))
+    for i in range(batch.num_rows):
+        yield (number[i].as_py(), hashed[i].as_py() % (1 << 64), n[i].as_py(), best[i].as_py(),
+               row[i].as_py(), content[i].as_py())
+
+
+def resolve_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("class", pa.int64()), ("keep_id", pa.int64()), ("keep_row", pa.int64()),
                         ("group_size", pa.int64()), ("text_sha256", pa.string())])
     out: list[tuple] = []
-    for answer in grace(records()):
+    for answer in grace(record for batch in batches for record in _records(batch)):
         out.append(answer)
         if len(out) == 8192:
             yield pa.record_batch([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema)
@@ -205,22 +252,57 @@ def resolve_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.record_batch([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema)
 
 
-def exact_groups(docs: DataFrame, **names: str) -> DataFrame:
+def hot_hashes(classes: DataFrame, least_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Hashes of several classes that hold over a share of all bytes: hash, salts, the number of their groups.
+
+    The share is a quarter of a shuffle partition's, or ``least_bytes`` if that is more. So they are fewer than four
+    for each partition, and a group holds about one share.
+    """
+    partitions = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = written(
+        classes.groupBy("hash").agg(
+            F.sum(F.octet_length("content") + F.lit(RECORD_BYTES)).alias("bytes"), F.count(F.lit(1)).alias("classes")
+        ).where("classes > 1"),
+        "exact-shares",
+    )
+    total = held.agg(F.sum("bytes")).first()[0] or 0
+    share = max(total // (4 * partitions), least_bytes)
+    return held.where(F.col("bytes") > share).select("hash", F.ceil(F.col("bytes") / share).alias("salts"))
+
+
+def resolved(classes: DataFrame, least_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """The answer for each class, hot hashes by way of salted groups."""
+    hot = written(hot_hashes(classes, least_bytes), "exact-hot")
+    few = F.broadcast(hot)  # fewer than four for each shuffle partition
+    cold = classes.join(few, "hash", "left_anti").repartition("hash").mapInArrow(resolve_partition, ANSWER)
+    if hot.isEmpty():
+        return cold
+    groups = (
+        classes.join(few, "hash")
+        .withColumn("salt", F.pmod(F.xxhash64("class"), "salts"))
+        .repartition("hash", "salt")
+        .select(*classes.columns)
+        .mapInArrow(merge_partition, MERGED)
+    )
+    groups = written(groups, "exact-groups")
+    merged = groups.where(F.col("content").isNotNull()).select(*classes.columns).repartition("hash")
+    members = groups.where(F.col("member").isNotNull()).select("member", "class")
+    by_group = merged.mapInArrow(resolve_partition, ANSWER)
+    return cold.unionByName(members.join(by_group, "class").drop("class").withColumnRenamed("member", "class"))
+
+
+def exact_groups(docs: DataFrame, hot_bytes: int = BUCKET_BYTES, **names: str) -> DataFrame:
     """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if their UTF-8 bytes are, after lower-casing A-Z; a null text is empty. The largest id
     of a group stays; null ids are smallest, and a group with null ids alone has a null keep_id. Among
     repeated rows with that id one stays, so each group keeps exactly one row. An empty table gives no rows.
+    Copies of one hash with over ``hot_bytes`` are merged in groups first, see ``hot_hashes``.
     """
     rows = written(texts(docs, **names).mapInArrow(collapse, COLLAPSED), "exact")
-    classes = (
-        rows.where(F.col("content").isNotNull())
-        .select("class", "hash", "n", "best", "best_row", "content")
-        .repartition("hash")
-        .mapInArrow(resolve_partition, ANSWER)
-    )
+    classes = rows.where(F.col("content").isNotNull()).select("class", "hash", "n", "best", "best_row", "content")
     members = rows.where(F.col("row").isNotNull()).select("row", "doc_id", "class")
-    return members.join(classes, "class").select(
+    return members.join(resolved(classes, hot_bytes), "class").select(
         "doc_id",
         F.when(F.col("keep_id") != NO_ID, F.col("keep_id")).alias("keep_id"),
         "group_size",
